@@ -74,9 +74,12 @@ def _dti_mean(spark, sf_dir):
     return single_pass.dti_mean(_keyed(spark, sf_dir))
 
 
+def _average_emp_length(spark, sf_dir):
+    return single_pass.means(_keyed(spark, sf_dir)).select("avg_emp_length")
+
+
 def _customers(spark, sf_dir):
-    means = single_pass.fill_values(_keyed(spark, sf_dir))
-    average = means.select("avg_emp_length").scalar()
+    average = _average_emp_length(spark, sf_dir).scalar()
     return clean.clean_borrower(_borrower(spark, sf_dir), average=average).drop("ingestion_date")
 
 
@@ -93,8 +96,8 @@ def _clean_risk(spark, sf_dir):
 
 
 def _filled_dti(spark, sf_dir):
-    mean = _dti_mean(spark, sf_dir)
-    return _dti(spark, sf_dir).withColumn("dti", clean.filled_dti(mean))
+    filled = clean.with_mean(_dti(spark, sf_dir), _dti_mean(spark, sf_dir))
+    return filled.selectExpr(KEY, f"{clean.filled_dti()} AS dti")
 
 
 def _crunched(spark, sf_dir):
@@ -203,7 +206,7 @@ def _emp_length_years(spark, sf_dir):
 def _joined(spark, sf_dir):
     customers = clean.clean_borrower(
         _borrower(spark, sf_dir),
-        average=single_pass.fill_values(_keyed(spark, sf_dir)).select("avg_emp_length").scalar(),
+        average=_average_emp_length(spark, sf_dir).scalar(),
     )
     risk = clean.clean_risk(
         _risk(spark, sf_dir), mean=_dti_mean(spark, sf_dir), unique_keys=True
@@ -272,18 +275,18 @@ def queries() -> dict[str, Query]:
         # borrowers
         "borrower_clean": _customers,
         "positive_income": lambda s, d: clean.positive_income(_borrower(s, d)),
-        "title_case_employer": lambda s, d: _borrower(s, d).select(
-            KEY, text.title_case(F.col("emp_title")).alias("emp_title")
+        "title_case_employer": lambda s, d: _borrower(s, d).selectExpr(
+            KEY, f"{text.title_case('emp_title')} AS emp_title"
         ),
-        "fill_title": lambda s, d: _borrower(s, d).select(
-            KEY, clean.employer_title().alias("emp_title")
+        "fill_title": lambda s, d: _borrower(s, d).selectExpr(
+            KEY, f"{clean.employer_title()} AS emp_title"
         ),
-        "emp_length_digits": lambda s, d: _borrower(s, d).select(
-            KEY, text.digits(F.col("emp_length")).alias("emp_length")
+        "emp_length_digits": lambda s, d: _borrower(s, d).selectExpr(
+            KEY, f"{text.digits('emp_length')} AS emp_length"
         ),
         "emp_length_years": _emp_length_years,
-        "add_country": lambda s, d: _borrower(s, d).select(
-            KEY, clean.ingestion_columns()["country"].alias("country")
+        "add_country": lambda s, d: _borrower(s, d).selectExpr(
+            KEY, f"{clean.ingestion_values()['country']} AS country"
         ),
         # loans
         "loan_clean": _clean_loan,
@@ -319,7 +322,7 @@ def queries() -> dict[str, Query]:
         ),
         # statistics
         "avg_emp_length": lambda s, d: _rounded(
-            single_pass.fill_values(_keyed(s, d)).select("avg_emp_length"), "avg_emp_length"
+            _average_emp_length(s, d), "avg_emp_length"
         ),
         "dti_mean_raw": lambda s, d: _rounded(stats.dti_mean(_dti(s, d)), "dti_mean"),
         "dti_mean": lambda s, d: _rounded(stats.dti_mean(_filled_dti(s, d)), "dti_mean"),
@@ -327,8 +330,8 @@ def queries() -> dict[str, Query]:
         "dti_spread": lambda s, d: _rounded(
             stats.dti_spread(_filled_dti(s, d)), "dti_mean", "dti_stddev"
         ),
-        "fill_values": lambda s, d: _rounded(
-            single_pass.fill_values(_keyed(s, d)), "dti_mean", "avg_emp_length"
+        "fill_means": lambda s, d: _rounded(
+            single_pass.means(_keyed(s, d)), "dti_mean", "avg_emp_length"
         ),
         "median_income": lambda s, d: stats.median_income(_eligible(s, d)),
         "median_income_customers": lambda s, d: stats.median_income(

@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-_COMPARE = {
-    "<": operator.lt,
-    "<=": operator.le,
-    "=": operator.eq,
-    ">=": operator.ge,
-    ">": operator.gt,
-}
+def literal(value: int | float | str) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
 
 
-def ladder(value: Column, rungs: Iterable[tuple], default) -> Column:
+def ladder(value: str, rungs: Iterable[tuple], default: int | float | str) -> str:
     """The result of the first rung whose comparison holds, else ``default``.
 
     A rung is ``(comparison, bound, result)``.  NULL meets no rung.
     """
-    case = reduce(
-        lambda chain, rung: chain.when(_COMPARE[rung[0]](value, rung[1]), F.lit(rung[2])),
-        rungs,
-        F,
+    cases = " ".join(
+        f"WHEN {value} {comparison} {bound} THEN {literal(result)}"
+        for comparison, bound, result in rungs
     )
-    return case.otherwise(F.lit(default))
+    return f"CASE {cases} ELSE {literal(default)} END"

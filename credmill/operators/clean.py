@@ -1,8 +1,9 @@
 """Vertical split and cleaning of the four tables.
 
-The ``*_columns`` functions hold the cleaning rules as column expressions.  The
+The ``*_values`` functions hold the cleaning rules, as SQL per column.  The
 ``clean_*`` functions apply them to one split table; the single-pass plan
-applies the same expressions to the unsplit rows.
+applies the same rules to the unsplit rows.  The two rules that fill in a mean
+find it in the columns ``AVERAGE`` and ``MEAN``.
 """
 
 from __future__ import annotations
@@ -10,13 +11,16 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from credmill import schemas
 from credmill.functions import text
+from credmill.functions.columns import rework
 from credmill.operators import stats
 from credmill.schemas import KEY
 
+AVERAGE = "_avg_emp_length"
+MEAN = "_dti_mean"
+
 # --- vertical split ------------------------------------------------------------
 
 
@@ -42,40 +46,36 @@ def split_risk(keyed: DataFrame) -> DataFrame:
 
 # --- borrowers -------------------------------------------------------------------
 
-
-def has_income() -> Column:
-    """True for a positive income; NULL income does not qualify."""
-    return F.col("annual_inc") > 0
+# NULL income does not qualify.
+HAS_INCOME = "annual_inc > 0"
 
 
 def positive_income(borrower: DataFrame) -> DataFrame:
-    return borrower.where(has_income())
+    return borrower.where(HAS_INCOME)
 
 
-def employer_title() -> Column:
-    return F.coalesce(
-        text.title_case(F.col("emp_title")), F.lit(schemas.MISSING_TITLE)
-    )
+def employer_title() -> str:
+    return f"coalesce({text.title_case('emp_title')}, '{schemas.MISSING_TITLE}')"
 
 
-def emp_length_years(average: Column) -> Column:
+def emp_length_years(average: str = AVERAGE) -> str:
     """Whole years.  Text without digits takes the mean cut to whole years,
     NULL and what does not fit an int take the fixed default."""
-    kept = text.digits(F.col("emp_length"))
-    years = F.when(kept == "", average.try_cast("int")).otherwise(kept.try_cast("int"))
-    return F.coalesce(years, F.lit(schemas.MISSING_EMP_LENGTH))
+    kept = text.digits("emp_length")
+    years = f"if({kept} = '', try_cast({average} AS int), try_cast({kept} AS int))"
+    return f"coalesce({years}, {schemas.MISSING_EMP_LENGTH})"
 
 
-def ingestion_columns(as_of: datetime | None = None) -> dict[str, Column]:
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    return {"ingestion_date": now, "country": F.lit(schemas.COUNTRY)}
+def ingestion_values(as_of: datetime | None = None) -> dict[str, str]:
+    now = f"timestamp '{as_of.isoformat(sep=' ')}'" if as_of else "current_timestamp()"
+    return {"ingestion_date": now, "country": f"'{schemas.COUNTRY}'"}
 
 
-def borrower_columns(average: Column, as_of: datetime | None = None) -> dict[str, Column]:
+def borrower_values(as_of: datetime | None = None) -> dict[str, str]:
     return {
         "emp_title": employer_title(),
-        "emp_length": emp_length_years(average),
-        **ingestion_columns(as_of),
+        "emp_length": emp_length_years(),
+        **ingestion_values(as_of),
     }
 
 
@@ -87,76 +87,75 @@ def clean_borrower(
     customers = positive_income(borrower)
     if average is None:
         average = stats.average_emp_length(customers).scalar()
-    return customers.withColumns(borrower_columns(average, as_of)).withColumnsRenamed(
-        schemas.BORROWER_RENAMES
+    return rework(
+        customers.withColumn(AVERAGE, average),
+        borrower_values(as_of),
+        renames=schemas.BORROWER_RENAMES,
+        drops=[AVERAGE],
     )
 
 
 # --- loans -----------------------------------------------------------------------
 
 
-def loan_columns() -> dict[str, Column]:
+def loan_values() -> dict[str, str]:
     return {
-        "term": text.whole_number(F.col("term")),
-        "int_rate": text.percentage(F.col("int_rate")),
-        "issue_d": text.month_date(F.col("issue_d"), schemas.MONTH_YEAR_FORMAT),
-        "purpose": text.title_case(F.col("purpose")),
+        "term": text.whole_number("term"),
+        "int_rate": text.percentage("int_rate"),
+        "issue_d": text.month_date("issue_d", schemas.MONTH_YEAR_FORMAT),
+        "purpose": text.title_case("purpose"),
     }
 
 
 def clean_loan(loan: DataFrame) -> DataFrame:
-    return (
-        loan.withColumns(loan_columns())
-        .withColumnsRenamed(schemas.LOAN_RENAMES)
-        .drop(*schemas.LOAN_DROPS)
-    )
+    return rework(loan, loan_values(), renames=schemas.LOAN_RENAMES, drops=schemas.LOAN_DROPS)
 
 
 # --- payments ----------------------------------------------------------------------
 
 
-def payment_columns() -> dict[str, Column]:
+def payment_values() -> dict[str, str]:
     return {
-        name: text.month_date(F.col(name), schemas.MONTH_YEAR_FORMAT)
+        name: text.month_date(name, schemas.MONTH_YEAR_FORMAT)
         for name in schemas.PAYMENT_RENAMES
     }
 
 
 def clean_payment(payment: DataFrame) -> DataFrame:
-    return payment.withColumns(payment_columns()).withColumnsRenamed(schemas.PAYMENT_RENAMES)
+    return rework(payment, payment_values(), renames=schemas.PAYMENT_RENAMES)
 
 
 # --- credit risk ---------------------------------------------------------------------
 
 
-def filled_dti(mean: Column) -> Column:
+def filled_dti(mean: str = MEAN) -> str:
     """NULL and NaN take the mean."""
-    dti = F.col("dti")
-    return F.when(dti.isNull() | F.isnan(dti), mean).otherwise(dti)
+    return f"coalesce(nanvl(dti, NULL), {mean})"
 
 
-def fill_columns(mean: Column) -> dict[str, Column]:
+def fill_values() -> dict[str, str]:
     constants = {
-        name: F.coalesce(F.col(name), F.lit(value))
-        for name, value in schemas.RISK_FILLS.items()
+        name: f"coalesce({name}, {value})" for name, value in schemas.RISK_FILLS.items()
     }
-    return {"dti": filled_dti(mean), **constants}
+    return {"dti": filled_dti(), **constants}
 
 
-def risk_columns(mean: Column) -> dict[str, Column]:
+def risk_values() -> dict[str, str]:
     return {
-        **fill_columns(mean),
-        "earliest_cr_line": text.month_date(
-            F.col("earliest_cr_line"), schemas.CREDIT_LINE_FORMAT
-        ),
-        "revol_util": text.percentage(F.col("revol_util"), "float"),
+        **fill_values(),
+        "earliest_cr_line": text.month_date("earliest_cr_line", schemas.CREDIT_LINE_FORMAT),
+        "revol_util": text.percentage("revol_util", "float"),
     }
 
 
-def fill_risk(risk: DataFrame, *, mean: Column | None = None) -> DataFrame:
+def with_mean(risk: DataFrame, mean: Column | None = None) -> DataFrame:
     if mean is None:
         mean = stats.dti_mean(risk).scalar()
-    return risk.withColumns(fill_columns(mean))
+    return risk.withColumn(MEAN, mean)
+
+
+def fill_risk(risk: DataFrame, *, mean: Column | None = None) -> DataFrame:
+    return rework(with_mean(risk, mean), fill_values(), drops=[MEAN])
 
 
 def clean_risk(
@@ -167,17 +166,16 @@ def clean_risk(
     ``unique_keys=True`` says that no ``member_id`` repeats; the distinct then
     has nothing to remove and its shuffle is left out.
     """
-    if mean is None:
-        mean = stats.dti_mean(risk).scalar()
-    typed = risk.withColumns(risk_columns(mean))
+    typed = rework(
+        with_mean(risk, mean), risk_values(), renames=schemas.RISK_RENAMES, drops=[MEAN]
+    )
     rows = typed if unique_keys else stats.distinct_rows(typed)
-    return rows.withColumnsRenamed(schemas.RISK_RENAMES).drop(*schemas.RISK_DROPS)
+    return rows.drop(*schemas.RISK_DROPS)
 
 
-def is_known_delinquency() -> Column:
-    return F.col("mths_since_last_delinq") != schemas.UNKNOWN_MONTHS
+KNOWN_DELINQUENCY = f"mths_since_last_delinq != {schemas.UNKNOWN_MONTHS}"
 
 
 def known_delinquency(risk: DataFrame) -> DataFrame:
     """Only members whose last delinquency has a known age."""
-    return risk.where(is_known_delinquency())
+    return risk.where(KNOWN_DELINQUENCY)

@@ -21,23 +21,27 @@ def key_columns(df: DataFrame) -> DataFrame:
     return df.select(*schemas.KEY_COLUMNS)
 
 
-def fingerprint() -> Column:
-    """SHA-256 of the key columns; NULLs are skipped, so it is never NULL."""
-    parts = [F.col(name).cast("string") for name in schemas.KEY_COLUMNS]
-    return F.sha2(F.concat_ws(schemas.KEY_SEPARATOR, *parts), 256)
+def fingerprint() -> str:
+    """SHA-256 of the key columns, NULLs skipped.
+
+    It is never NULL.  Saying so with ``coalesce`` spares joins on the key a
+    null test, which would compute every digest twice.
+    """
+    parts = ", ".join(f"cast({name} AS string)" for name in schemas.KEY_COLUMNS)
+    return f"coalesce(sha2(concat_ws('{schemas.KEY_SEPARATOR}', {parts}), 256), '')"
 
 
 def with_member_key(df: DataFrame) -> DataFrame:
-    return df.withColumn(KEY, fingerprint())
+    return df.selectExpr("*", f"{fingerprint()} AS {KEY}")
 
 
 def key_counts(keyed: DataFrame) -> DataFrame:
     """Rows per key.  Partial counts collapse a hot key before the shuffle."""
-    return keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("member_count"))
+    return keyed.groupBy(KEY).agg(F.expr("count(1) AS member_count"))
 
 
 def duplicate_keys(keyed: DataFrame) -> DataFrame:
-    return key_counts(keyed).where(F.col("member_count") > 1)
+    return key_counts(keyed).where("member_count > 1")
 
 
 def duplicate_keys_sorted(keyed: DataFrame) -> DataFrame:
@@ -51,8 +55,9 @@ def member_lookup(keyed: DataFrame, key: str | Column) -> DataFrame:
 
 def most_copied_key(keyed: DataFrame) -> DataFrame:
     """One row with the key that has most copies; the smallest key among ties."""
-    order = F.struct(-F.col("member_count"), F.col(KEY))
-    return key_counts(keyed).agg(F.min_by(KEY, order).alias(KEY))
+    return key_counts(keyed).selectExpr(
+        f"min_by({KEY}, struct(-member_count, {KEY})) AS {KEY}"
+    )
 
 
 def exclude_duplicates(keyed: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
@@ -63,10 +68,8 @@ def exclude_duplicates(keyed: DataFrame, hot_copies: int = HOT_COPIES) -> DataFr
     estimated size allows it.  Both joins read one and the same count.
     """
     counts = key_counts(keyed)
-    hot = counts.where(F.col("member_count") >= hot_copies).select(KEY)
-    other = counts.where(
-        (F.col("member_count") > 1) & (F.col("member_count") < hot_copies)
-    ).select(KEY)
+    hot = counts.where(f"member_count >= {hot_copies}").select(KEY)
+    other = counts.where(f"member_count > 1 AND member_count < {hot_copies}").select(KEY)
     return keyed.join(F.broadcast(hot), KEY, "left_anti").join(other, KEY, "left_anti")
 
 
@@ -78,10 +81,10 @@ def rows_per_key(keyed: DataFrame) -> DataFrame:
     the way to de-duplicate numbers and dates.  Text would make Spark sort the
     rows, so wide rows are better off with ``exclude_duplicates``.
     """
-    values = [F.max(name).alias(name) for name in keyed.columns if name != KEY]
-    return keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("member_count"), *values)
+    values = [F.expr(f"max(`{name}`) AS `{name}`") for name in keyed.columns if name != KEY]
+    return keyed.groupBy(KEY).agg(F.expr("count(1) AS member_count"), *values)
 
 
 def unique_values(keyed: DataFrame) -> DataFrame:
     """The rows ``exclude_duplicates`` keeps, for columns of numbers and dates."""
-    return rows_per_key(keyed).where(F.col("member_count") == 1).drop("member_count")
+    return rows_per_key(keyed).where("member_count = 1").drop("member_count")

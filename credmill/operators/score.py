@@ -2,45 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from credmill import schemas
 from credmill.functions.bands import ladder
+from credmill.functions.columns import aliased
 from credmill.operators import stats
 
 
-def has_critical_values(df: DataFrame) -> Column:
+def critical_values_present(df: DataFrame) -> str:
     """No critical column is NULL, or NaN where it is a floating number.
 
-    One ``isNotNull`` per column lets Catalyst push each test to its side of a
+    One ``IS NOT NULL`` per column lets Catalyst push each test to its side of a
     join and turn the outer joins below into inner ones.
     """
-
-    def present(name: str) -> Column:
-        value = F.col(name)
-        if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-            return value.isNotNull() & ~F.isnan(value)
-        return value.isNotNull()
-
-    return reduce(and_, map(present, schemas.CRITICAL_COLUMNS))
+    tests = [f"{name} IS NOT NULL" for name in schemas.CRITICAL_COLUMNS]
+    tests += [
+        f"NOT isnan({field.name})"
+        for field in df.schema
+        if field.name in schemas.CRITICAL_COLUMNS
+        and isinstance(field.dataType, (DoubleType, FloatType))
+    ]
+    return " AND ".join(tests)
 
 
 def drop_critical_nulls(df: DataFrame) -> DataFrame:
-    return df.where(has_critical_values(df))
+    return df.where(critical_values_present(df))
 
 
-def has_valid_utilization() -> Column:
-    """At most 100 percent; unknown utilization does not qualify."""
-    return F.col("revol_util_in_percentage") <= schemas.MAX_UTILIZATION
+# Unknown utilization does not qualify.
+VALID_UTILIZATION = f"revol_util_in_percentage <= {schemas.MAX_UTILIZATION}"
 
 
 def valid_utilization(df: DataFrame) -> DataFrame:
-    return df.where(has_valid_utilization())
+    return df.where(VALID_UTILIZATION)
 
 
 def impute_income(df: DataFrame, median: Column | None = None) -> DataFrame:
@@ -54,28 +51,31 @@ def impute_income(df: DataFrame, median: Column | None = None) -> DataFrame:
     return df.withColumn("annual_inc", F.coalesce(F.col("annual_inc"), median))
 
 
-def factor_score(name: str) -> Column:
-    source, rungs = schemas.SCORE_BANDS[name]
-    return ladder(F.col(source), rungs, 0).alias(name)
+def factor_values() -> dict[str, str]:
+    return {
+        name: ladder(source, rungs, 0)
+        for name, (source, rungs) in schemas.SCORE_BANDS.items()
+    }
 
 
 def with_factor_scores(df: DataFrame) -> DataFrame:
-    return df.withColumns({name: factor_score(name) for name in schemas.SCORE_COLUMNS})
+    return df.selectExpr("*", *aliased(factor_values()))
 
 
 def with_total_score(df: DataFrame) -> DataFrame:
-    return df.withColumn("total_score", reduce(add, map(F.col, schemas.SCORE_COLUMNS)))
+    return df.selectExpr("*", f"{' + '.join(schemas.SCORE_COLUMNS)} AS total_score")
 
 
 def with_credit_score(df: DataFrame) -> DataFrame:
+    """Scale the total linearly to the range of credit scores."""
     span = schemas.SCORE_CEILING - schemas.SCORE_FLOOR
-    share = F.col("total_score") / schemas.MAX_TOTAL
-    return df.withColumn("credit_score", share * span + schemas.SCORE_FLOOR)
+    share = f"total_score / {schemas.MAX_TOTAL}"
+    return df.selectExpr("*", f"{share} * {span} + {schemas.SCORE_FLOOR} AS credit_score")
 
 
 def with_credit_grade(df: DataFrame) -> DataFrame:
-    grade = ladder(F.col("credit_score"), schemas.GRADE_BANDS, schemas.LOWEST_GRADE)
-    return df.withColumn("credit_grade", grade)
+    grade = ladder("credit_score", schemas.GRADE_BANDS, schemas.LOWEST_GRADE)
+    return df.selectExpr("*", f"{grade} AS credit_grade")
 
 
 def scored(df: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def graded(crunched: DataFrame) -> DataFrame:
 
 def grade_counts(graded_rows: DataFrame) -> DataFrame:
     return graded_rows.groupBy("credit_grade").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.min("credit_score").alias("lowest_score"),
-        F.max("credit_score").alias("highest_score"),
+        F.expr("count(1) AS members"),
+        F.expr("min(credit_score) AS lowest_score"),
+        F.expr("max(credit_score) AS highest_score"),
     )

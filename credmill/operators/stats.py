@@ -6,7 +6,7 @@ plan as a scalar subquery and never passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from credmill.functions.text import digits
@@ -15,25 +15,26 @@ from credmill.functions.text import digits
 _BINS_PER_OCTAVE = 1024
 
 
+def emp_years() -> str:
+    return f"try_cast({digits('emp_length')} AS double)"
+
+
 def average_emp_length(customers: DataFrame) -> DataFrame:
     """Mean number of years over the lengths that hold digits."""
-    years = digits(F.col("emp_length")).try_cast("double")
-    return customers.agg(F.avg(years).alias("avg_emp_length"))
+    return customers.selectExpr(f"avg({emp_years()}) AS avg_emp_length")
 
 
 def dti_mean(risk: DataFrame) -> DataFrame:
-    return risk.agg(F.avg("dti").alias("dti_mean"))
+    return risk.selectExpr("avg(dti) AS dti_mean")
 
 
 def dti_stddev(risk: DataFrame) -> DataFrame:
-    return risk.agg(F.stddev_samp("dti").alias("dti_stddev"))
+    return risk.selectExpr("stddev_samp(dti) AS dti_stddev")
 
 
 def dti_spread(risk: DataFrame) -> DataFrame:
     """Mean and deviation next to each other, from one pass."""
-    return risk.agg(
-        F.avg("dti").alias("dti_mean"), F.stddev_samp("dti").alias("dti_stddev")
-    )
+    return risk.selectExpr("avg(dti) AS dti_mean", "stddev_samp(dti) AS dti_stddev")
 
 
 def lower_median(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -41,39 +42,40 @@ def lower_median(df: DataFrame, column: str, name: str) -> DataFrame:
 
     Equal values are counted first, so a hot value is one row.  A histogram over
     bins on a logarithmic scale then finds the bin with the middle rank, and only
-    that bin is ranked value by value.  The two unpartitioned windows see bounded
+    that bin is ranked value by value.  The unpartitioned windows see bounded
     input: a double spans some two million bins at most, and a bin is 0.07 % wide,
     which for amounts in cents around 60,000 is about 4,000 values.
     NULL and NaN do not count.
     """
-    value = F.col(column)
     counted = (
-        df.where(value.isNotNull() & ~F.isnan(value.cast("double")))
-        .groupBy(value.alias("value"))
-        .agg(F.count(F.lit(1)).alias("copies"))
+        df.selectExpr(f"`{column}` AS value")
+        .where("value IS NOT NULL AND NOT isnan(cast(value AS double))")
+        .groupBy("value")
+        .agg(F.expr("count(1) AS copies"))
+        .selectExpr(
+            "value",
+            "copies",
+            f"floor(signum(value) * log2(abs(value) + 1) * {_BINS_PER_OCTAVE}) AS bin",
+        )
     )
-    magnitude = F.log2(F.abs(F.col("value")) + 1) * _BINS_PER_OCTAVE
-    counted = counted.withColumn("bin", F.floor(F.signum("value") * magnitude))
-
-    by_bin = Window.orderBy("bin")
-    bins = counted.groupBy("bin").agg(F.sum("copies").alias("in_bin"))
-    bins = bins.select(
+    bins = counted.groupBy("bin").agg(F.expr("sum(copies) AS in_bin"))
+    # The single row of the bin that holds the middle rank.
+    middle_bin = bins.selectExpr(
         "bin",
-        (F.sum("in_bin").over(by_bin) - F.col("in_bin")).alias("before"),
+        "sum(in_bin) OVER (ORDER BY bin) AS last",
         "in_bin",
-        F.ceil(F.sum("in_bin").over(Window.partitionBy()) / 2).alias("middle"),
+        "ceil(sum(in_bin) OVER () / 2) AS middle",
+    ).where("last - in_bin < middle AND middle <= last")
+    return (
+        counted.join(F.broadcast(middle_bin), "bin")
+        .selectExpr(
+            "value",
+            "middle",
+            "sum(copies) OVER (ORDER BY value) + last - in_bin AS up_to",
+        )
+        .where("up_to >= middle")
+        .selectExpr(f"min(value) AS `{name}`")
     )
-    middle_bin = bins.where(
-        (F.col("before") < F.col("middle"))
-        & (F.col("middle") <= F.col("before") + F.col("in_bin"))
-    )
-    # middle_bin is a single row, which bounds the broadcast.
-    ranked = counted.join(F.broadcast(middle_bin), "bin").select(
-        "value",
-        "middle",
-        (F.sum("copies").over(Window.orderBy("value")) + F.col("before")).alias("up_to"),
-    )
-    return ranked.where(F.col("up_to") >= F.col("middle")).agg(F.min("value").alias(name))
 
 
 def median_income(df: DataFrame) -> DataFrame:
@@ -82,16 +84,14 @@ def median_income(df: DataFrame) -> DataFrame:
 
 def title_frequency(customers: DataFrame) -> DataFrame:
     """Customers per employer title, most frequent first, ties by title."""
-    counts = customers.groupBy("emp_title").agg(F.count(F.lit(1)).alias("count"))
+    counts = customers.groupBy("emp_title").agg(F.expr("count(1) AS count"))
     return counts.orderBy(F.desc("count"), "emp_title")
 
 
 def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count"))
+    return df.selectExpr("count(1) AS row_count")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row distinct.  It changes nothing where ``member_id`` is unique."""
     return df.dropDuplicates()
-
-

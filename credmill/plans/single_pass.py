@@ -12,10 +12,10 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from credmill import schemas
 from credmill.functions import text
+from credmill.functions.columns import aliased, rework
 from credmill.operators import clean, keys, score, stats
 from credmill.schemas import KEY
 
@@ -25,17 +25,16 @@ def dti_mean(keyed: DataFrame) -> Column:
     return stats.dti_mean(keys.unique_values(keyed.select(KEY, "dti"))).scalar()
 
 
-def fill_values(keyed: DataFrame) -> DataFrame:
+def means(keyed: DataFrame) -> DataFrame:
     """One row with both means that cleaning fills in, from one pass.
 
     ``dti_mean`` is taken over all unambiguous rows, ``avg_emp_length`` over
     those with income.
     """
-    years = text.digits(F.col("emp_length")).try_cast("double")
-    numbers = keyed.select(KEY, "dti", "annual_inc", years.alias("years"))
-    return keys.unique_values(numbers).agg(
-        F.avg("dti").alias("dti_mean"),
-        F.avg(F.when(clean.has_income(), F.col("years"))).alias("avg_emp_length"),
+    numbers = keyed.selectExpr(KEY, "dti", "annual_inc", f"{stats.emp_years()} AS years")
+    return keys.unique_values(numbers).selectExpr(
+        "avg(dti) AS dti_mean",
+        f"avg(if({clean.HAS_INCOME}, years, NULL)) AS avg_emp_length",
     )
 
 
@@ -46,15 +45,15 @@ def crunched(keyed: DataFrame, *, as_of: datetime | None = None) -> DataFrame:
     such a member are NULL.
     """
     unique = keys.exclude_duplicates(keyed)
-    means = fill_values(keyed).select(F.struct("dti_mean", "avg_emp_length")).scalar()
-    customer = clean.borrower_columns(means["avg_emp_length"], as_of)
-    for name in schemas.BORROWER_COLUMNS:
-        customer.setdefault(name, F.col(name))
-    columns = {
-        **{name: F.when(clean.has_income(), value) for name, value in customer.items()},
-        **clean.loan_columns(),
-        **clean.payment_columns(),
-        **clean.risk_columns(means["dti_mean"]),
+    filled_in = means(keyed).selectExpr("struct(*) AS means").scalar()
+    # Row values come from before the projection: annual_inc is the raw income.
+    customer = {name: name for name in schemas.BORROWER_COLUMNS}
+    customer.update(clean.borrower_values(as_of))
+    values = {
+        **{name: f"if({clean.HAS_INCOME}, {sql}, NULL)" for name, sql in customer.items()},
+        **clean.loan_values(),
+        **clean.payment_values(),
+        **clean.risk_values(),
     }
     renames = {
         **schemas.BORROWER_RENAMES,
@@ -62,7 +61,14 @@ def crunched(keyed: DataFrame, *, as_of: datetime | None = None) -> DataFrame:
         **schemas.PAYMENT_RENAMES,
         **schemas.RISK_RENAMES,
     }
-    members = unique.withColumns(columns).withColumnsRenamed(renames)
+    members = rework(
+        unique.withColumn("_means", filled_in).selectExpr(
+            "*", f"_means.dti_mean AS {clean.MEAN}", f"_means.avg_emp_length AS {clean.AVERAGE}"
+        ),
+        values,
+        columns=[KEY, *(name for table in schemas.SPLITS.values() for name in table)],
+        renames=renames,
+    )
     return clean.known_delinquency(members).select(*schemas.CRUNCHED_COLUMNS)
 
 
@@ -79,23 +85,24 @@ def score_inputs(keyed: DataFrame) -> DataFrame:
     Utilization is parsed first: all values then live in a hash aggregate,
     which keeps the whole path in generated code and the shuffle narrow.
     """
-    utilization = text.percentage(F.col("revol_util"), "float")
-    return keyed.select(
-        KEY, *SCORE_INPUTS, utilization.alias("revol_util_in_percentage")
-    )
+    utilization = {"revol_util_in_percentage": text.percentage("revol_util", "float")}
+    return keyed.selectExpr(KEY, *SCORE_INPUTS, *aliased(utilization))
 
 
-def _member_columns(keyed: DataFrame) -> dict[str, Column]:
-    fills = clean.fill_columns(dti_mean(keyed))
-    filled = {name: fills[name] for name in SCORE_INPUTS if name in fills}
-    income = F.col("annual_inc")
-    return {**filled, "annual_inc": F.when(clean.has_income(), income)}
+def _filled(inputs: DataFrame, keyed: DataFrame) -> DataFrame:
+    fills = {
+        name: sql for name, sql in clean.fill_values().items() if name in SCORE_INPUTS
+    }
+    income = {"annual_inc": f"if({clean.HAS_INCOME}, annual_inc, NULL)"}
+    return rework(
+        clean.with_mean(inputs, dti_mean(keyed)), {**fills, **income}, drops=[clean.MEAN]
+    )
 
 
 def score_members(keyed: DataFrame) -> DataFrame:
     """The joined members before the filters, with the score inputs only."""
     unique = keys.unique_values(score_inputs(keyed))
-    return clean.known_delinquency(unique.withColumns(_member_columns(keyed)))
+    return clean.known_delinquency(_filled(unique, keyed))
 
 
 def graded(keyed: DataFrame) -> DataFrame:
@@ -105,17 +112,17 @@ def graded(keyed: DataFrame) -> DataFrame:
 
 def row_counts(keyed: DataFrame) -> DataFrame:
     """Rows left after each stage, all counted in one pass."""
-    per_key = keys.rows_per_key(score_inputs(keyed)).withColumns(_member_columns(keyed))
-    unique = F.col("member_count") == 1
-    joined = unique & clean.is_known_delinquency()
-    complete = joined & score.has_critical_values(per_key)
+    per_key = _filled(keys.rows_per_key(score_inputs(keyed)), keyed)
+    unique = "member_count = 1"
+    joined = f"{unique} AND {clean.KNOWN_DELINQUENCY}"
+    complete = f"{joined} AND {score.critical_values_present(per_key)}"
     stages = {
-        "raw": F.sum("member_count"),
-        "deduplicated": F.count_if(unique),
-        "customers": F.count_if(unique & clean.has_income()),
-        "joined": F.count_if(joined),
-        "complete": F.count_if(complete),
-        "scored": F.count_if(complete & score.has_valid_utilization()),
+        "raw": "sum(member_count)",
+        "deduplicated": f"count_if({unique})",
+        "customers": f"count_if({unique} AND {clean.HAS_INCOME})",
+        "joined": f"count_if({joined})",
+        "complete": f"count_if({complete})",
+        "scored": f"count_if({complete} AND {score.VALID_UTILIZATION})",
     }
-    counts = per_key.agg(*(value.alias(stage) for stage, value in stages.items()))
+    counts = per_key.selectExpr(*aliased(stages))
     return counts.unpivot([], list(stages), "stage", "row_count")

@@ -10,6 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from credmill.functions.columns import aliased
+from credmill.sources.readers import read_parquet, spread
+
+ORDERS_SCHEMA = """
+    o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+    o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string
+"""
+CUSTOMER_SCHEMA = """
+    c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string
+"""
+
 _MONTHS = "'JanFebMarAprMayJunJulAugSepOctNovDec'"
 
 BASE_COLUMNS = {
@@ -102,17 +113,37 @@ LOAN_EXPRESSIONS = {
 }
 
 
+# These need the copy number; the others are computed before the copies are made.
+PER_COPY = ("loan_amnt", "funded_amnt")
+
+
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loan-shaped table over ``orders`` and ``customer`` in ``sf_dir``.
 
     The copies come from one ``explode`` over the joined rows, so both tables
     are scanned once.  The join carries no hint: Spark broadcasts ``customer``
     while its file size allows it and shuffles beyond that.
+
+    Half of the columns are computed before the ``explode`` and half after it.
+    Spark compiles each half to a method of its own; one for all columns would
+    exceed the size up to which the JVM compiles a method at all.
     """
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    base = joined.selectExpr(*(f"{sql} AS {name}" for name, sql in BASE_COLUMNS.items()))
-    copies = F.when(F.expr(COPIED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = base.withColumn("copy", F.explode(copies))
-    return rows.selectExpr(*(f"{sql} AS {name}" for name, sql in LOAN_EXPRESSIONS.items()))
+    orders = read_parquet(spark, f"{sf_dir}/orders.parquet", ORDERS_SCHEMA)
+    customer = read_parquet(spark, f"{sf_dir}/customer.parquet", CUSTOMER_SCHEMA)
+    joined = spread(orders, "o_orderkey").join(
+        customer, F.col("o_custkey") == F.col("c_custkey")
+    )
+    early = [name for name in list(LOAN_EXPRESSIONS)[::2] if name not in PER_COPY]
+    return (
+        joined.selectExpr(*aliased(BASE_COLUMNS))
+        .selectExpr("*", *aliased({f"_{name}": LOAN_EXPRESSIONS[name] for name in early}))
+        .selectExpr("*", f"explode(if({COPIED}, array(0, 1), array(0))) AS copy")
+        .selectExpr(
+            *aliased(
+                {
+                    name: f"_{name}" if name in early else sql
+                    for name, sql in LOAN_EXPRESSIONS.items()
+                }
+            )
+        )
+    )

@@ -65,3 +65,16 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a scan over all cores if it comes as too few partitions for them.
+
+    A file of a single row group, or a compressed text file, cannot be split and
+    would keep one core busy.  A large input has more partitions than cores and
+    passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
