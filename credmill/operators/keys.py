@@ -12,9 +12,11 @@ from credmill import schemas
 from credmill.schemas import KEY
 
 # Keys with at least this many copies are dropped by a broadcast before any
-# shuffle.  There are at most rows / HOT_COPIES of them: 250,000 keys of 64
-# characters, some 20 MB, in 250 billion rows.
-HOT_COPIES = 1_000_000
+# shuffle.  There are at most rows / HOT_COPIES of them: a million keys of 64
+# characters, some 100 MB, if all of 250 billion rows were such copies.  Below
+# it, the copies of one key are some 100 MB of wide rows, the size of a normal
+# shuffle partition, so no partition of the join becomes lopsided.
+HOT_COPIES = 250_000
 
 
 def key_columns(df: DataFrame) -> DataFrame:

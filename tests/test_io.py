@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import pytest
+
+from credmill import schemas
+from credmill.sources import readers, writers
+from credmill.sources.scratch import shared_dir
+from tests.plans import explain
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_csv_keeps_null_empty_and_blanks_apart(spark, loans, tmp_path):
+    df = loans({"emp_title": None}, {"emp_title": ""}, {"emp_title": 'a "b", c'})
+    writers.write_csv(df, str(tmp_path / "t"), nullValue="NULL")
+    back = readers.read_loans_csv(spark, str(tmp_path / "t"), nullValue="NULL")
+    assert back.schema == df.schema
+    assert rows(back) == rows(df)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("extra,b,a\nx,2,1\ny,oops,3\n")
+    df = readers.read_loans_csv(spark, str(path), schema="a int, b int")
+    assert [tuple(r) for r in df.collect()] == [(1, 2), (3, None)]
+    with pytest.raises(ValueError, match="lacks"):
+        readers.read_loans_csv(spark, str(path), schema="a int, z int")
+
+
+def test_csv_corrupt_lines_can_be_kept(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b\n1,2\nx,3\n")
+    df = readers.read_loans_csv(
+        spark, str(path), schema="a int, b int", corrupt_column="_line"
+    )
+    assert [tuple(r) for r in df.collect()] == [(1, 2, None), (None, 3, "x,3")]
+
+
+def test_csv_types_can_be_inferred(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b\n1,2.5\n")
+    df = readers.read_loans_csv(spark, str(path), schema=None)
+    assert df.dtypes == [("a", "int"), ("b", "double")]
+
+
+def test_parquet_declared_schema_and_path_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.write_parquet(spark.range(3).selectExpr("id", "id * 2 AS x"), path)
+    assert readers.read_parquet(spark, path, "x bigint").columns == ["x"]
+    assert rows(readers.read_parquet(spark, path)) == rows(readers.read_path(spark, path))
+
+
+def test_file_size_is_bounded_without_a_single_task(spark, tmp_path):
+    path = tmp_path / "t"
+    writers.write_parquet(spark.range(0, 100, 1, 2), str(path), max_records_per_file=20)
+    assert len(list(path.glob("*.parquet"))) == 6
+
+
+def test_overwrite_replaces(spark, tmp_path):
+    for n in (5, 2):
+        writers.write_table(spark.range(n), "over", str(tmp_path / "over"))
+    assert readers.read_table(spark, "over").count() == 2
+
+
+def test_graded_write_prunes_to_one_grade(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(i, g) for i, g in enumerate(schemas.GRADES * 2)], "i int, credit_grade string"
+    )
+    writers.write_graded(df, "graded_io", str(tmp_path / "g"))
+    views = writers.create_grade_views(spark, "graded_io", pattern="{grade}_io")
+    assert views == [f"{g}_io" for g in schemas.GRADES]
+    parts = [spark.table(v) for v in views]
+    assert [p.count() for p in parts] == [2] * 5
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.union(part)
+    assert rows(union) == rows(spark.table("graded_io"))
+    assert "PartitionFilters: [isnotnull(credit_grade" in explain(parts[0])
+
+
+def test_temp_view(spark):
+    writers.register_view(spark.range(4))
+    assert spark.sql(f"SELECT count(*) FROM {schemas.DEDUPED_VIEW}").first()[0] == 4
+
+
+def test_scratch_lies_in_the_checkpoint_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first.startswith(root) and first != second
+
+
+def test_spread_leaves_wide_inputs_alone(spark):
+    wide = spark.range(0, 100, 1, 8)
+    assert readers.spread(wide, "id") is wide
+    narrow = spark.range(0, 100, 1, 1)
+    assert readers.spread(narrow, "id").rdd.getNumPartitions() == 4
