@@ -204,18 +204,16 @@ def _emp_length_years(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
-    customers = clean.clean_borrower(
-        _borrower(spark, sf_dir),
-        average=_average_emp_length(spark, sf_dir).scalar(),
-    )
-    risk = clean.clean_risk(
-        _risk(spark, sf_dir), mean=_dti_mean(spark, sf_dir), unique_keys=True
-    )
+    """Split, clean and join, over rows that were de-duplicated and stored once."""
+    path = shared_dir(spark, "deduplicated")
+    writers.write_parquet(_unique(spark, sf_dir), path)
+    rows = readers.read_parquet(spark, path)
+    risk = clean.clean_risk(clean.split_risk(rows), unique_keys=True)
     joined = join.crunched(
         clean.known_delinquency(risk),
-        customers,
-        _clean_loan(spark, sf_dir),
-        _clean_payment(spark, sf_dir),
+        clean.clean_borrower(clean.split_borrower(rows)),
+        clean.clean_loan(clean.split_loan(rows)),
+        clean.clean_payment(clean.split_payment(rows)),
     )
     return _rounded(joined.drop("ingestion_date"), "dti")
 

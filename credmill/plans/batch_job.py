@@ -8,6 +8,7 @@ also cuts the lineage: a lost executor costs a stage, not the job.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -70,13 +71,23 @@ class Job:
             max_records_per_file=self.max_records_per_file,
         )
 
+    def _save_all(self, frames: dict[str, DataFrame], layer: str, fmt: str) -> None:
+        """Write tables that do not need each other at the same time, so that the
+        last tasks of one write do not leave the cluster idle."""
+        with ThreadPoolExecutor(len(frames)) as pool:
+            writes = [
+                pool.submit(self._save, df, layer, table, fmt) for table, df in frames.items()
+            ]
+            for write in writes:
+                write.result()
+
     def stage(self, loans: DataFrame) -> None:
         """Key and de-duplicate the loans, then write the four splits."""
         unique = keys.exclude_duplicates(keys.with_member_key(loans))
         self._save(unique, "staging", DEDUPED_TABLE, "parquet")
         rows = self.table(DEDUPED_TABLE)
-        for table in schemas.SPLITS:
-            self._save(clean.split(rows, table), "staging", table, "parquet")
+        splits = {table: clean.split(rows, table) for table in schemas.SPLITS}
+        self._save_all(splits, "staging", "parquet")
 
     def land(self) -> None:
         """Write the four cleaned tables and the known-delinquency risk table."""
@@ -88,8 +99,7 @@ class Job:
             schemas.PAYMENTS_TABLE: clean.clean_payment(self.table("payment_recovery")),
             schemas.RISK_TABLE: clean.clean_risk(self.table("credit_risk"), unique_keys=True),
         }
-        for table, df in landing.items():
-            self._save(df, "landing", table, self.fmt)
+        self._save_all(landing, "landing", self.fmt)
         ultra = clean.known_delinquency(self.table(schemas.RISK_TABLE))
         self._save(ultra, "landing", schemas.ULTRA_RISK_TABLE, self.fmt)
 

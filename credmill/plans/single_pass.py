@@ -89,20 +89,37 @@ def score_inputs(keyed: DataFrame) -> DataFrame:
     return keyed.selectExpr(KEY, *SCORE_INPUTS, *aliased(utilization))
 
 
-def _filled(inputs: DataFrame, keyed: DataFrame) -> DataFrame:
+def _shared_mean(per_key: DataFrame) -> Column:
+    """Mean dti of the keys with one row, as a scalar.
+
+    The subquery also asks for the maximum of the other columns.  It so needs
+    the very shuffle the rows themselves come from, which Spark then runs once
+    for both, instead of a second scan for a narrower one.
+    """
+    others = (f"max({name}) AS {name}" for name in per_key.columns if name != KEY)
+    row = per_key.where("member_count = 1").selectExpr(
+        f"struct(avg(dti) AS mean, {', '.join(others)}) AS row"
+    )
+    return row.scalar()["mean"]
+
+
+def _filled(per_key: DataFrame) -> DataFrame:
     fills = {
         name: sql for name, sql in clean.fill_values().items() if name in SCORE_INPUTS
     }
     income = {"annual_inc": f"if({clean.HAS_INCOME}, annual_inc, NULL)"}
     return rework(
-        clean.with_mean(inputs, dti_mean(keyed)), {**fills, **income}, drops=[clean.MEAN]
+        clean.with_mean(per_key, _shared_mean(per_key)),
+        {**fills, **income},
+        drops=[clean.MEAN],
     )
 
 
 def score_members(keyed: DataFrame) -> DataFrame:
     """The joined members before the filters, with the score inputs only."""
-    unique = keys.unique_values(score_inputs(keyed))
-    return clean.known_delinquency(_filled(unique, keyed))
+    per_key = keys.rows_per_key(score_inputs(keyed))
+    unique = _filled(per_key).where("member_count = 1").drop("member_count")
+    return clean.known_delinquency(unique)
 
 
 def graded(keyed: DataFrame) -> DataFrame:
@@ -112,7 +129,7 @@ def graded(keyed: DataFrame) -> DataFrame:
 
 def row_counts(keyed: DataFrame) -> DataFrame:
     """Rows left after each stage, all counted in one pass."""
-    per_key = _filled(keys.rows_per_key(score_inputs(keyed)), keyed)
+    per_key = _filled(keys.rows_per_key(score_inputs(keyed)))
     unique = "member_count = 1"
     joined = f"{unique} AND {clean.KNOWN_DELINQUENCY}"
     complete = f"{joined} AND {score.critical_values_present(per_key)}"
