@@ -9,7 +9,7 @@ also cuts the lineage: a lost executor costs a stage, not the job.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,7 @@ class Job:
 
     ``root``     directory for all tables, on storage the executors share
     ``prefix``   put before every table and view name, for example ``"db."``
+    ``names``    other names for single tables, by their default names
     ``fmt``      table format of the landing and reporting layers
     ``buckets``  buckets per table; 0 means ``spark.sql.shuffle.partitions``.
                  Formats other than Parquet and ORC are written unbucketed.
@@ -41,11 +42,12 @@ class Job:
     buckets: int = 0
     as_of: datetime | None = None
     max_records_per_file: int | None = None
+    names: dict[str, str] = field(default_factory=dict)
 
     # -- naming --
 
     def name(self, table: str) -> str:
-        return self.prefix + table
+        return self.prefix + self.names.get(table, table)
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))

@@ -254,6 +254,12 @@ def test_job_writes_one_file_per_bucket(job):
         assert 0 < len(files) <= 4, table
 
 
+def test_tables_can_have_other_names(spark, tmp_path):
+    job = Job(spark, str(tmp_path), prefix="db.", names={schemas.CRUNCHED_TABLE: "loans_joined"})
+    assert job.name(schemas.CRUNCHED_TABLE) == "db.loans_joined"
+    assert job.name(schemas.LOANS_TABLE) == f"db.{schemas.LOANS_TABLE}"
+
+
 def test_job_can_run_again(spark, job, sf_dir):
     job.run(loan_view(spark, sf_dir))
     assert stats.row_count(job.table(schemas.REPORT_TABLE)).first()[0] == STAGES["scored"]
