@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,8 @@ from credmill.sources.scratch import shared_dir  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The time of the run differs every time; a fixed one can be compared.
+AS_OF = datetime(2020, 1, 2, 12)
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -203,6 +206,11 @@ def _emp_length_years(spark, sf_dir):
     return _customers(spark, sf_dir).select(KEY, "emp_length_in_years")
 
 
+def _ingestion_date(spark, sf_dir):
+    stamp = clean.ingestion_values(AS_OF)["ingestion_date"]
+    return _borrower(spark, sf_dir).selectExpr(KEY, f"date({stamp}) AS ingestion_date")
+
+
 def _joined(spark, sf_dir):
     """Split, clean and join, over rows that were de-duplicated and stored once."""
     path = shared_dir(spark, "deduplicated")
@@ -286,6 +294,7 @@ def queries() -> dict[str, Query]:
         "add_country": lambda s, d: _borrower(s, d).selectExpr(
             KEY, f"{clean.ingestion_values()['country']} AS country"
         ),
+        "ingestion_date": _ingestion_date,
         # loans
         "loan_clean": _clean_loan,
         "term_months": lambda s, d: _clean_loan(s, d).select(KEY, "tenure_period_in_month"),

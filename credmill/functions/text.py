@@ -11,7 +11,7 @@ _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _WORD_START = f"(?<=[^{_CASED}])(?=[{_CASED}])"
 # A Unicode noncharacter, so it does not occur in text, and the blank that
 # makes initcap start a word.
-_BREAK = "﷐ "
+_BREAK = "\ufdd0 "
 
 
 def title_case(text: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from credmill.functions.text import digits
 
 # Bins per doubling of the value in ``lower_median``.
-_BINS_PER_OCTAVE = 1024
+_BINS_PER_OCTAVE = 65536
 
 
 def emp_years() -> str:
@@ -42,9 +42,10 @@ def lower_median(df: DataFrame, column: str, name: str) -> DataFrame:
 
     Equal values are counted first, so a hot value is one row.  A histogram over
     bins on a logarithmic scale then finds the bin with the middle rank, and only
-    that bin is ranked value by value.  The unpartitioned windows see bounded
-    input: a double spans some two million bins at most, and a bin is 0.07 % wide,
-    which for amounts in cents around 60,000 is about 4,000 values.
+    that bin is ranked value by value.  The unpartitioned windows see little:
+    amounts up to a billion fall into two million bins at most, and a bin is
+    0.001 % wide, which around 60,000 is some 60 amounts in cents, or a few million
+    values if hundreds of billions of rows all held different fractions.
     NULL and NaN do not count.
     """
     counted = (
