@@ -7,6 +7,7 @@ credit job over all of it.
 
 from __future__ import annotations
 
+import importlib
 import sys
 import uuid
 from collections.abc import Callable
@@ -250,6 +251,18 @@ def _grade(grade: str) -> Query:
     return query
 
 
+def _llm(name: str) -> dict:
+    """What the subpackage and the pipeline add; nothing where they are not installed."""
+    try:
+        pipeline = importlib.import_module("corpus_pipeline")
+        registry = importlib.import_module("credmill.llm.registry")
+    except ModuleNotFoundError as missing:
+        if str(missing.name).split(".")[:2] in (["credmill", "llm"], ["corpus_pipeline"]):
+            return {}
+        raise
+    return getattr(registry, name)() | getattr(pipeline, name)()
+
+
 def queries() -> dict[str, Query]:
     table: dict[str, Query] = {
         # sources and sinks
@@ -382,8 +395,8 @@ def queries() -> dict[str, Query]:
     table.update({f"grade_{grade}": _grade(grade) for grade in schemas.GRADES})
     table["graded_report"] = lambda s, d: _complete_report(s, d, score.graded)
     table["grade_counts"] = lambda s, d: score.grade_counts(_graded(s, d))
-    return table
+    return table | _llm("queries")
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    return oracle.oracle_sql() | _llm("oracle_sql")
