@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from credmill.llm import bpe, packing, token_files
+from credmill.llm import bpe, packing, quality, token_files, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": packing.query,
+        "op2_divergence_rules": quality.query,
+        "op7_url_filter": urls.query,
         "op9_token_files": token_files.query,
         "op10_byte_bpe": bpe.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_url_filter": urls.ORACLE_SQL}
