@@ -36,50 +36,62 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.memo_parts = memo_parts
+        self.tokenize = self.library.model.tokenize
         self.letters = _byte_letters()
+        self.space = chr(self.letters[32])
         self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
-        self.parts = _Parts(self)
+        self.line_end = self.whole("\n")
+        self.spaced = _Parts(self, " ")
+        self.bare = _Parts(self, "")
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def part(self, chunk: str) -> bytes | None:
-        """Ids of a space and ``chunk``; None if the chunk does not stand alone."""
+    def part(self, chunk: str, before: str) -> bytes | None:
+        """Ids of ``before`` and ``chunk``; None if the chunk does not stand alone."""
         if not chunk or chunk[-1].isspace():
             return None
-        mark = chunk[-1] if chunk[-1] in self.marks else ""
+        own = self.spaced if before else self.bare
+        mark = self.marks.get(chunk[-1], b"")
         word = chunk[:-1] if mark else chunk
-        if word.isalpha() and max(word) < OLD_LETTERS:
+        if word.isalpha() and (word.isascii() or max(word) < OLD_LETTERS):
             # Letters only are one part, which needs no further splitting.
-            spelled = " " + word
-            if not word.isascii():
-                spelled = spelled.encode().decode("latin-1")
-            spelled = spelled.translate(self.letters)
-            ids = array("I", [token.id for token in self.library.model.tokenize(spelled)])
-            return ids.tobytes() + (self.marks[mark] if mark else b"")
-        return self.whole(" " + chunk)
+            known = own.get(word) if mark else None
+            if known is None:
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                if before:
+                    spelled = self.space + spelled
+                known = array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
+            return known + mark
+        head, line_end, tail = chunk.partition("\n")
+        if line_end and head and not head[-1].isspace() and not tail[0].isspace():
+            # A single line end between other characters is a part of its own.
+            return own[head] + self.line_end + self.bare[tail]
+        return self.whole(before + chunk)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         first, *chunks = text.split(" ")
-        if len(self.parts) > self.memo_parts:
-            self.parts.clear()
+        if len(self.spaced) + len(self.bare) > self.memo_parts:
+            self.spaced.clear()
+            self.bare.clear()
         try:
-            if first and not first[-1].isspace():
-                return self.whole(first) + b"".join(map(self.parts.__getitem__, chunks))
+            return self.bare[first] + b"".join(map(self.spaced.__getitem__, chunks))
         except TypeError:  # a None among the parts: white space beside the cut
             pass
         return b"".join(map(self.whole, _BEFORE_SPACE.split(text)))
 
 
 class _Parts(dict):
-    def __init__(self, encoder: Encoder):
+    """Ids of chunks behind a space, or behind nothing."""
+
+    def __init__(self, encoder: Encoder, before: str):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.before = encoder, before
 
     def __missing__(self, chunk: str) -> bytes | None:
-        ids = self[chunk] = self.encoder.part(chunk)
+        ids = self[chunk] = self.encoder.part(chunk, self.before)
         return ids
 
 
