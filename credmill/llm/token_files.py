@@ -50,7 +50,7 @@ DOCUMENTS = "shard long, doc_id long, local_start long, n_tokens long, ids_crc32
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
     """Transpose ids into four byte planes or 32 bit planes and compress each."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     by_id = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
     if bits:
         by_id = np.unpackbits(by_id, axis=1, bitorder="little")

@@ -16,6 +16,7 @@ MEMO_PARTS = 800_000
 # Letters below this code point are letters to every version of Unicode in use.
 OLD_LETTERS = "ɐ"
 END_ID = 2
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
@@ -39,7 +40,7 @@ class Encoder:
         self.tokenize = self.library.model.tokenize
         self.letters = _byte_letters()
         self.space = chr(self.letters[32])
-        self.marks = {mark: self.whole(mark) for mark in ".,;:!?"}
+        self.marks: dict[str, bytes] = {}
         self.line_end = self.whole("\n")
         self.spaced = _Parts(self, " ")
         self.bare = _Parts(self, "")
@@ -51,24 +52,27 @@ class Encoder:
         """Ids of ``before`` and ``chunk``; None if the chunk does not stand alone."""
         if not chunk or chunk[-1].isspace():
             return None
-        own = self.spaced if before else self.bare
-        mark = self.marks.get(chunk[-1], b"")
-        word = chunk[:-1] if mark else chunk
+        word = chunk.rstrip(MARKS)
+        mark = chunk[len(word) :]
         if word.isalpha() and (word.isascii() or max(word) < OLD_LETTERS):
-            # Letters only are one part, which needs no further splitting.
-            known = own.get(word) if mark else None
-            if known is None:
-                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                if before:
-                    spelled = self.space + spelled
-                known = array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
-            return known + mark
+            # Letters only, and marks only, are parts that need no further splitting.
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [token.id for token in self.tokenize(self.space + spelled if before else spelled)])
+            return ids.tobytes() + self.mark(mark) if mark else ids.tobytes()
         head, line_end, tail = chunk.partition("\n")
         if line_end and head and not head[-1].isspace() and not tail[0].isspace():
             # A single line end between other characters is a part of its own.
-            return own[head] + self.line_end + self.bare[tail]
+            return (self.spaced if before else self.bare)[head] + self.line_end + self.bare[tail]
         return self.whole(before + chunk)
 
+    def mark(self, mark: str) -> bytes:
+        ids = self.marks.get(mark)
+        if ids is None:
+            ids = self.whole(mark)
+            if len(mark) < 8:
+                self.marks[mark] = ids
+        return ids
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
