@@ -11,13 +11,14 @@ import re
 from array import array
 from functools import cache
 
-# Parts of ids that one worker remembers; then it begins anew.
-MEMO_PARTS = 800_000
+# Parts that one worker remembers before it forgets those not met again since the last time.
+MEMO_PARTS = 450_000
 # Letters below this code point are letters to every version of Unicode in use.
 OLD_LETTERS = "ɐ"
 END_ID = 2
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+_UNKNOWN = object()
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
 
@@ -78,8 +79,8 @@ class Encoder:
             return b""
         first, *chunks = text.split(" ")
         if len(self.spaced) + len(self.bare) > self.memo_parts:
-            self.spaced.clear()
-            self.bare.clear()
+            self.spaced.grow_old()
+            self.bare.grow_old()
         try:
             return self.bare[first] + b"".join(map(self.spaced.__getitem__, chunks))
         except TypeError:  # a None among the parts: white space beside the cut
@@ -93,11 +94,20 @@ class _Parts(dict):
     def __init__(self, encoder: Encoder, before: str):
         super().__init__()
         self.encoder, self.before = encoder, before
+        self.older: dict[str, bytes | None] = {}
 
     def __missing__(self, chunk: str) -> bytes | None:
-        ids = self[chunk] = self.encoder.part(chunk, self.before)
+        ids = self.older.get(chunk, _UNKNOWN)
+        if ids is _UNKNOWN:
+            ids = self.encoder.part(chunk, self.before)
+        self[chunk] = ids
         return ids
 
+    def grow_old(self) -> None:
+        """Forget what was not asked for since the last time."""
+        self.older = dict(self)
+        self.clear()
+
 
 @cache
 def encoder(path: str) -> Encoder:
