@@ -281,6 +281,17 @@ def near_duplicates(
     )
 
 
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns.
+
+    It is that of the smallest document id; of rows that share this id any one stays.
+    Rows without an id all stay.
+    """
+    kept = near_duplicates(docs, **options).filter("kept").select("doc_id").distinct()
+    named = docs.filter("doc_id IS NOT NULL").join(kept.filter("doc_id IS NOT NULL"), "doc_id", "left_semi")
+    return named.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: components of all documents by their 2-word shingles."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle_words=2)

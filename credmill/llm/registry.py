@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from credmill.llm import bpe, embeddings, minhash, packing, quality, token_files, toxicity, urls
+from credmill.llm import bpe, embeddings, minhash, packing, phrases, quality, suffixes, token_files, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +16,11 @@ def queries() -> dict[str, Query]:
         "op1_best_fit_packing": packing.query,
         "op2_divergence_rules": quality.query,
         "op3_lexicon_automata": toxicity.query,
+        "op4_phrase_automata": phrases.query,
         "op5_pca_tiles": embeddings.query,
         "op6_bottom_k": minhash.query,
         "op7_url_filter": urls.query,
+        "op8_prefix_free_parsing": suffixes.query,
         "op9_token_files": token_files.query,
         "op10_byte_bpe": bpe.query,
     }

@@ -41,6 +41,11 @@ def mix(values: np.ndarray) -> np.ndarray:
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
+def powers(items: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for as many items at least."""
+    return _powers(1 << max(10, int(items).bit_length()))
+
+
 @lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse."""
@@ -55,8 +60,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each span; equal bytes have equal hashes."""
-    size = 1 << max(10, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
     spans = (sums[ends] - sums[starts]) * down[starts]
