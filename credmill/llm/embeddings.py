@@ -187,7 +187,8 @@ def _write_tiles(vectors: DataFrame, turns: dict, reach: float, tile_rows: int,
     placed.write.parquet(f"{path}-points")
     placed = vectors.sparkSession.read.parquet(f"{path}-points")
     sizes = placed.groupBy("length", "cell").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
-    dealt = placed.join(sizes, ["length", "cell"]).withColumn(
+    # A length has no more cells than fit between -1 and 1, so the sizes are few.
+    dealt = placed.join(F.broadcast(sizes), ["length", "cell"]).withColumn(
         "tile", F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int")
     )
     dealt.groupBy("length", "cell", "tile").agg(
