@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from credmill.llm import words
 from credmill.llm.arrow import raw_texts, slices
+from credmill.llm.bloom import possible
 from credmill.llm.components import connected
 from credmill.llm.shipping import ship
 from credmill.sources.scratch import shared_dir
@@ -49,7 +50,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 SKETCH = 24
 COMMON = 8
-BLOCK = 512
+BLOCK = 256
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -76,10 +77,10 @@ def needed_common(n: int, sketch: int, common: int, percent: int) -> int:
     return min(common, n)
 
 
-def union_common(one: np.ndarray, other: np.ndarray, sketch: int) -> int:
+def union_common(one: frozenset, other: frozenset, both: frozenset, sketch: int) -> int:
     """How many of the smallest values of the union of two sketches are in both."""
-    union = np.union1d(one, other)[:sketch]
-    return int(np.isin(union, np.intersect1d(one, other)).sum())
+    union = sorted(one | other)
+    return len(both) if len(union) <= sketch else sum(value <= union[sketch - 1] for value in both)
 
 
 def _sketches(docs: DataFrame, width: int, sketch: int) -> DataFrame:
@@ -116,6 +117,8 @@ def _full_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([*kept, pa.array(sets, schema[-1].type)], schema=schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    # Most documents are not asked for; a Bloom filter spares them the shuffle.
+    texts = possible(texts, chosen.select("rep").distinct(), "rep")
     joined = texts.join(chosen, "rep").select("rep", *(f.name for f in extra), "text")
     kinds = ", ".join(f"{name} long" for name in schema.names[:-1]) + ", shingles array<long>"
     return joined.mapInArrow(of, kinds)
@@ -154,50 +157,100 @@ def _listed(classes: DataFrame, sketch: int, common: int, percent: int) -> DataF
 def _pairs_across(listed: DataFrame, sketch: int, common: int, percent: int, block: int) -> DataFrame:
     """Pairs of classes in different components whose sketches may be those of linked sets.
 
-    ``listed`` has value, size of the list, class, number of shingles, component, sketch.
+    ``listed`` has value, size of the list, class, number of shingles, component, sketch
+    and ``on``, all lists that the class is on.  A pair is found once, in the largest
+    list that both are on, together with the block of that list.
     """
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     placed = listed.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     grouped = placed.groupBy(
         "value", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")
-    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "sketch")).alias("members"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "sketch", "on")).alias("members"))
+    schema = pa.schema([(name, pa.int64()) for name in ("value", "low", "high", "a", "b")])
 
     def compare(batches):
         for batch in batches:
-            found = set()
+            found = []
             for row in batch.to_pylist():
-                members = row["members"]
-                if len(members) < 2:
-                    continue
-                found.update(_block_pairs(members, row["low"] != row["high"], sketch, common, percent))
+                key = (row["value"], row["low"], row["high"])
+                found += [(*key, a, b) for a, b in _block_pairs(row, sketch, common, percent)]
             if found:
-                yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*sorted(found))], schema=schema)
-
-    return grouped.select("low", "high", "members").mapInArrow(compare, "a long, b long").distinct()
-
-
-def _block_pairs(members: list[dict], apart: bool, sketch: int, common: int, percent: int):
-    reps = np.array([m["rep"] for m in members])
-    n = np.array([m["n"] for m in members])
-    component = np.array([m["component"] for m in members])
-    own = np.array([m["own"] for m in members])
-    sketches = [np.array(m["sketch"]) for m in members]
-    needed = np.array([needed_common(x, sketch, common, percent) for x in n.tolist()])
-    values, where = np.unique(np.concatenate(sketches), return_inverse=True)
-    has = np.zeros((len(members), len(values)), np.float32)
-    has[np.repeat(np.arange(len(members)), [len(s) for s in sketches]), where] = 1
-    has = has[:, has.sum(axis=0) > 1]
-    possible = has @ has.T >= np.maximum(needed[:, None], needed[None, :])
-    possible &= component[:, None] != component[None, :]
-    possible &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
-    possible &= reps[:, None] < reps[None, :]
-    if apart:
-        possible &= own[:, None] != own[None, :]
-    for x, y in zip(*np.nonzero(possible)):
-        if union_common(sketches[x], sketches[y], sketch) >= max(needed[x], needed[y]):
-            yield int(reps[x]), int(reps[y])
+                yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
+
+    return grouped.mapInArrow(compare, "value long, low long, high long, a long, b long")
+
+
+def _block_pairs(row: dict, sketch: int, common: int, percent: int):
+    members, value, apart = row["members"], row["value"], row["low"] != row["high"]
+    members.sort(key=lambda m: m["n"])
+    for m in members:
+        m["values"] = frozenset(m["sketch"])
+        m["lists"] = {(on["size"], on["value"]) for on in m["on"]}
+        m["needed"] = needed_common(m["n"], sketch, common, percent)
+    for at, one in enumerate(members):
+        for other in members[at + 1 :]:
+            if 100 * one["n"] < percent * other["n"]:
+                break  # all further sets are larger still
+            if one["component"] == other["component"] or (apart and one["own"] == other["own"]):
+                continue
+            both = one["values"] & other["values"]
+            needed = max(one["needed"], other["needed"])
+            if len(both) < needed or max(one["lists"] & other["lists"])[1] != value:
+                continue
+            if union_common(one["values"], other["values"], both, sketch) >= needed:
+                yield one["rep"], other["rep"]
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that are linked by their full sets, less those that others imply.
+
+    Sets travel once to each block that asks for them, not once for each pair.
+    """
+    block = ["value", "low", "high"]
+    sides = pairs.select(*block, F.col("a").alias("rep")).union(pairs.select(*block, F.col("b").alias("rep")))
+    asked = sides.distinct().groupBy("rep").agg(F.collect_list(F.struct(*block)).alias("blocks"))
+    sets = _full_sets(docs, asked.select("rep"), width).join(asked, "rep")
+    dealt = sets.select("rep", "shingles", F.explode("blocks").alias("at")).select("at.*", "rep", "shingles")
+    gathered = dealt.groupBy(*block).agg(F.collect_list(F.struct("rep", "shingles")).alias("sets"))
+    work = pairs.groupBy(*block).agg(F.collect_list(F.struct("a", "b")).alias("pairs")).join(gathered, block)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def verify(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                held = row.column("sets")[0].values
+                raw = held.field("shingles")
+                sets = {rep: raw[i].values.to_numpy() for i, rep in enumerate(held.field("rep").to_pylist())}
+                found = _linked(row.column("pairs")[0].as_py(), sets, percent)
+                if found:
+                    yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
+
+    return work.select("pairs", "sets").mapInArrow(verify, "a long, b long")
+
+
+def _linked(pairs: list[dict], sets: dict[int, np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of one block; a pair that earlier ones have joined is not compared again."""
+    joined: dict[int, int] = {}
+
+    def root(rep: int) -> int:
+        while (above := joined.get(rep, rep)) != rep:
+            rep = above
+        return rep
+
+    found = []
+    for pair in pairs:
+        a, b = pair["a"], pair["b"]
+        x, y = root(a), root(b)
+        if x == y:
+            continue
+        one, other = sets[a], sets[b]
+        common = len(np.intersect1d(one, other, assume_unique=True))
+        if 100 * common >= percent * (len(one) + len(other) - common):
+            joined[max(x, y)] = min(x, y)
+            found.append((a, b))
+    return found
 
 
 def near_duplicates(
@@ -218,9 +271,9 @@ def near_duplicates(
         frame.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    members = stored(_sketches(docs, shingle_words, sketch), "sketches")
+    rows = stored(_sketches(docs, shingle_words, sketch), "sketches")
     classes = stored(
-        members.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
+        rows.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
         .groupBy("set_key")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
         "classes",
@@ -235,6 +288,14 @@ def near_duplicates(
         .groupBy("rep")
         .agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
     )
+    short = classes.select("rep", "n", "sketch")
+    near = (
+        hubs.join(short, "rep")
+        .join(short.select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in short.columns)), "hub")
+        .filter(F.size(F.array_intersect("sketch", "hub_sketch")) >= F.least(F.lit(common), "n", "hub_n"))
+        .filter(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+    )
+    hubs = stored(near.select("rep", "hub"), "hubs")
     asked = hubs.unionAll(hubs.select(F.col("hub").alias("rep"), F.col("hub")).distinct())
     sets = stored(_full_sets(docs, asked, shingle_words), "sets")
     first = stored(
@@ -251,21 +312,10 @@ def near_duplicates(
     known = listed.join(so_far, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_lists = known.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_lists = open_lists.filter("x <> y").select("value")
-    short = classes.select("rep", "sketch")
-    pairs = stored(
-        _pairs_across(
-            known.join(open_lists, "value").join(short, "rep"), sketch, common, percent, block
-        ),
-        "pairs",
-    )
-    asked = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    sets = stored(_full_sets(docs, asked, shingle_words), "more-sets")
-    second = (
-        pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("one")), "a")
-        .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("other")), "b")
-        .filter(_similar(percent))
-        .select("a", "b")
-    )
+    on = listed.groupBy("rep").agg(F.collect_list(F.struct("size", "value")).alias("on"))
+    members = known.join(open_lists, "value").join(on, "rep").join(short.select("rep", "sketch"), "rep")
+    pairs = stored(_pairs_across(members, sketch, common, percent, block), "pairs")
+    second = stored(_verified(pairs, docs, shingle_words, percent), "second-links")
     parts = connected(first.unionAll(second)).select(F.col("node").alias("rep"), "component")
     of_class = (
         classes.select("set_key", "rep")
@@ -274,7 +324,7 @@ def near_duplicates(
     )
     named = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
-        members.select("doc_id", "n_shingles", "set_key")
+        rows.select("doc_id", "n_shingles", "set_key")
         .join(of_class, "set_key", "left")
         .select("doc_id", "n_shingles", named.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -43,7 +43,9 @@ from credmill.sources.scratch import shared_dir
 # Items that one bucket stands for.
 BUCKET_ITEMS = 16 << 20
 # Compressed text that is handled at once.
-PACKED_SLICE = 1 << 20
+PACKED_SLICE = 1 << 19
+# Text that is handled at once: some twenty arrays of eight bytes for each byte of it.
+TEXT_SLICE = 3 << 19
 
 
 @dataclass(frozen=True)
@@ -161,7 +163,7 @@ def _phrases(docs: DataFrame, kind: Kind) -> DataFrame:
     schema = pa.schema([(name, pa.int64()) for name in names])
 
     def of(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=TEXT_SLICE):
             ids, versions, texts = _texts(kind, part)
             own = Slice(kind, texts)
             hits = np.flatnonzero(own.run_hashes(kind.trigger) % np.uint64(kind.phrase) == 0)
@@ -247,7 +249,7 @@ def _of_rows(rows: list[dict], name: str, kind: str) -> np.ndarray:
 
 def _docs_of_rows(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     counts = _of_rows(rows, "counts", "<u4")
-    return np.repeat(_of_rows(rows, "ids", "<i8"), counts), np.repeat(_of_rows(rows, "versions", "<i8"), counts)
+    return np.repeat(_of_rows(rows, "ids", "<i8"), counts), np.repeat(_of_rows(rows, "versions", "<u4").astype(np.int64), counts)
 
 
 # --- anchors ------------------------------------------------------------------------------
@@ -257,7 +259,7 @@ def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     """Anchors of all documents, dealt into buckets."""
 
     def of(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=TEXT_SLICE):
             ids, versions, texts = _texts(kind, part)
             own = Slice(kind, texts)
             hashes, least = own.anchors()
@@ -290,7 +292,7 @@ def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
                         rows.append(
                             (
                                 number if dealt is not None else int(ids[docs_in[0]]) % buckets,
-                                ids[docs_in].tobytes(), versions[docs_in].tobytes(),
+                                ids[docs_in].tobytes(), versions[docs_in].astype("<u4").tobytes(),
                                 counts.astype("<u4").tobytes(),
                                 dealt[some].astype("<u4").tobytes() if dealt is not None else None,
                                 places[some].tobytes(), None, None,
@@ -399,7 +401,7 @@ def _deal_segments(own, ids, versions, first, last, keys, buckets) -> pa.RecordB
         docs_in, counts = _by_doc(doc[done])
         rows.append(
             (
-                int(bucket[done[0]]), ids[docs_in].tobytes(), versions[docs_in].tobytes(),
+                int(bucket[done[0]]), ids[docs_in].tobytes(), versions[docs_in].astype("<u4").tobytes(),
                 counts.astype("<u4").tobytes(), None, spans[done].tobytes(), None, None,
             )
         )
@@ -413,7 +415,7 @@ def _deal_segments(own, ids, versions, first, last, keys, buckets) -> pa.RecordB
             texts = [raw[i] for i in some.tolist()]
             rows.append(
                 (
-                    number, ids[docs_in].tobytes(), versions[docs_in].tobytes(),
+                    number, ids[docs_in].tobytes(), versions[docs_in].astype("<u4").tobytes(),
                     counts.astype("<u4").tobytes(), keys[some].astype("<u8").tobytes(),
                     spans[some].tobytes(), np.array([len(t) for t in texts], "<u4").tobytes(),
                     b"".join(texts),

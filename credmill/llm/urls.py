@@ -7,8 +7,7 @@ list by its canonical form.  The list is first condensed to a Bloom filter of
 64-bit words.  URLs whose bits are all set go on to a hash join with the list itself,
 which removes the false positives; all others are decided without a shuffle.
 
-The filter has one row for each block and never more than ``MAX_BLOCKS`` of them, about
-12 MB, so it may be broadcast whatever the length of the list; on a longer list more
+The filter (see ``bloom``) has never more than a fixed number of blocks, about 12 MB, so it may be broadcast whatever the length of the list; on a longer list more
 URLs take the exact join.  Everything runs in the JVM.
 
 Canonical form: host without a leading ``www.`` and a default port, path without slashes
@@ -28,10 +27,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 1 << 18
-URLS_PER_BLOCK = 8
+from credmill.llm import bloom
+
 MAX_RULES = 200
-WORDS = ("w0", "w1", "w2", "w3")
 # From the first :// on: host up to a slash, question mark or hash sign; then the path.
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)\??([^#]*)"
 # Parameters that say where a visitor came from.
@@ -94,34 +92,15 @@ def longest_rule(rules: tuple[Rule, ...]) -> tuple[Column, Column]:
     return text, verdict
 
 
-def _block(n_blocks: int) -> Column:
-    return F.pmod(F.xxhash64("canonical"), F.lit(n_blocks))
-
-
-def _bit(word: int) -> Column:
-    """The bit that a URL has in a word of its block."""
-    place = F.shiftrightunsigned(F.xxhash64("canonical", F.lit("bits")), 6 * word).bitwiseAND(F.lit(63))
-    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
-
-
-def bloom_filter(listed: DataFrame, n_blocks: int) -> DataFrame:
-    """One row for each block that is not empty."""
-    words = [F.bit_or(_bit(i)).alias(word) for i, word in enumerate(WORDS)]
-    return listed.groupBy(_block(n_blocks).alias("block")).agg(*words)
-
-
 def judge(pages: DataFrame, listed: DataFrame, *, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Verdict on each row of ``pages``; ``listed`` has a column ``canonical``."""
     listed = listed.select("canonical").filter("canonical IS NOT NULL").distinct()
-    blocks = min(MAX_BLOCKS, 1 << max(0, (listed.count() // URLS_PER_BLOCK).bit_length()))
+    blocks = bloom.blocks_for(listed.count())
     rule, verdict = longest_rule(rules)
     ruled = with_parts(pages).select("*", rule.alias("rule"), verdict.alias("verdict"))
-    asked = ruled.withColumn("block", F.when(F.col("rule").isNull(), _block(blocks)))
-    found = asked.join(F.broadcast(bloom_filter(listed, blocks)), "block", "left")
-    all_set = F.lit(True)
-    for i, word in enumerate(WORDS):
-        all_set = all_set & (F.col(word).bitwiseAND(_bit(i)) != 0)
-    found = found.withColumn("possible", F.coalesce(all_set, F.lit(False)))
+    asked = ruled.withColumn("block", F.when(F.col("rule").isNull(), bloom.block_of("canonical", blocks)))
+    found = asked.join(F.broadcast(bloom.condensed(listed, "canonical", blocks)), "block", "left")
+    found = found.withColumn("possible", bloom.all_set("canonical"))
     columns = ("page_id", "host", "path", "rule")
     decided = found.filter(~F.col("possible")).select(
         *columns, F.coalesce("verdict", F.lit("allow")).alias("verdict")
