@@ -28,6 +28,7 @@ from credmill.llm.arrow import slices
 from credmill.llm.repeats import (
     PACKED_SLICE, Kind, Segments, find_repeats, identified, packed, removed, unpack,
 )
+from credmill.llm.words import mix, window_hashes
 
 WORDS = 13
 
@@ -36,19 +37,20 @@ def word_kind(width: int = WORDS) -> Kind:
     return Kind(words=True, width=width, anchor=max(1, width * 2 // 5), trigger=min(2, width), phrase=32)
 
 
-def confirmed(sequences: list[tuple[int, ...]], ids: np.ndarray, width: int) -> set[tuple[int, ...]]:
-    """Windows that occur in more than one document."""
-    holder: dict[tuple[int, ...], int] = {}
-    recurring: set[tuple[int, ...]] = set()
-    for sequence, doc_id in zip(sequences, ids.tolist()):
-        for at in range(len(sequence) - width + 1):
-            window = sequence[at : at + width]
-            if holder.setdefault(window, doc_id) != doc_id:
-                recurring.add(window)
-    return recurring
+def confirmed(numbers: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
+    """One place of each window that occurs in more than one document.
 
+    ``starts`` are the places of all windows in the numbers of the words.  Windows are
+    confirmed by their hash here; the automaton compares the words.
+    """
+    keys = window_hashes(mix(numbers.astype(np.uint64) + np.uint64(1)), width)[starts]
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+    low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
+    return starts[order[first[low < high]]]
 
-def locate(sequences: list[tuple[int, ...]], patterns: set[tuple[int, ...]], width: int) -> tuple:
+
+def locate(sequences: list[tuple[int, ...]], patterns: list[tuple[int, ...]], width: int) -> tuple:
     """Every occurrence of the patterns: sequence, start, pattern."""
     import ahocorasick
 
@@ -66,22 +68,26 @@ def locate(sequences: list[tuple[int, ...]], patterns: set[tuple[int, ...]], wid
 
 def compare_words(width: int):
     def compare(segments: Segments) -> np.ndarray:
-        numbers: dict[bytes, int] = {}
-        sequences = [
-            tuple([numbers.setdefault(word, len(numbers)) for word in raw.split(b" ")])
-            for raw in segments.raw
-        ]
-        n_windows = np.array([len(s) - width + 1 for s in sequences])
-        begin = np.cumsum(n_windows) - n_windows
-        repeat = np.zeros(int(n_windows.sum()), bool)
-        patterns = confirmed(sequences, segments.ids, width)
-        if patterns:
-            segment, start, pattern = locate(sequences, patterns, width)
-            ids = segments.ids[segment]
+        known: dict[bytes, int] = {}
+        words = [raw.split(b" ") for raw in segments.raw]
+        sizes = np.array([len(w) for w in words])
+        numbers = np.array([known.setdefault(w, len(known)) for own in words for w in own])
+        n_windows = sizes - width + 1
+        begin, window_begin = np.cumsum(sizes) - sizes, np.cumsum(n_windows) - n_windows
+        segment = np.repeat(np.arange(len(sizes)), n_windows)
+        starts = np.arange(len(segment)) - window_begin[segment] + begin[segment]
+        repeat = np.zeros(len(segment), bool)
+        places = confirmed(numbers, starts, segments.ids[segment], width)
+        if len(places):
+            every = numbers.tolist()
+            patterns = [tuple(every[at : at + width]) for at in places.tolist()]
+            sequences = [tuple(every[a : a + n]) for a, n in zip(begin.tolist(), sizes.tolist())]
+            within, start, pattern = locate(sequences, patterns, width)
+            ids = segments.ids[within]
             smallest = np.full(len(patterns), np.iinfo(np.int64).max)
             np.minimum.at(smallest, pattern, ids)
             again = smallest[pattern] < ids
-            repeat[begin[segment[again]] + start[again]] = True
+            repeat[window_begin[within[again]] + start[again]] = True
         return repeat
 
     return compare

@@ -40,8 +40,8 @@ from credmill.llm.arrow import raw_texts, slices
 from credmill.llm.shipping import ship
 from credmill.sources.scratch import shared_dir
 
-# Items that one bucket stands for.
-BUCKET_ITEMS = 16 << 20
+# Text that one bucket stands for.
+BUCKET_BYTES = 16 << 20
 # Compressed text that is handled at once.
 PACKED_SLICE = 1 << 19
 # Text that is handled at once: some twenty arrays of eight bytes for each byte of it.
@@ -506,14 +506,15 @@ def find_repeats(docs: DataFrame, kind: Kind, compare: Compare) -> DataFrame:
     folder = shared_dir(spark, "repeats")
     named = identified(docs).filter("doc_id IS NOT NULL")
     size = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(1, -(-size // (BUCKET_ITEMS * (6 if kind.words else 1))))
+    buckets = max(1, -(-size // BUCKET_BYTES))
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
     keys = ["doc_id", "version"]
-    known = stored(_known_spans(_phrases(named, kind)), "known")
+    phrases = stored(_phrases(named, kind), "phrases")  # read twice below
+    known = stored(_known_spans(phrases), "known")
     anchors = _shared_anchors(_anchors(named, kind, buckets), buckets)
     open_docs = packed(named, kind).join(anchors, keys).join(known, keys, "left")
     segments = _segments(open_docs.select(*keys, "packed", "places", "known"), kind, buckets)
