@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle  # noqa: E402
+from loan_view import loan_view  # noqa: E402
 from credmill import schemas  # noqa: E402
 from credmill.functions import text  # noqa: E402
 from credmill.operators import clean, join, keys, quality, score, stats  # noqa: E402
@@ -27,13 +28,14 @@ from credmill.plans import single_pass  # noqa: E402
 from credmill.plans.batch_job import Job  # noqa: E402
 from credmill.schemas import KEY  # noqa: E402
 from credmill.sources import readers, writers  # noqa: E402
-from credmill.sources.loan_view import loan_view  # noqa: E402
 from credmill.sources.scratch import shared_dir  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The time of the run differs every time; a fixed one can be compared.
 AS_OF = datetime(2020, 1, 2, 12)
+# Buckets of the job's tables; enough for the loan table derived here.
+BUCKETS = 8
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -45,8 +47,13 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- inputs of the steps ---------------------------------------------------------
 
 
+def _loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan table; its file cannot be split, so its rows are spread."""
+    return loan_view(spark, sf_dir, spark.sparkContext.defaultParallelism)
+
+
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keys.with_member_key(loan_view(spark, sf_dir))
+    return keys.with_member_key(_loans(spark, sf_dir))
 
 
 def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +103,9 @@ def _clean_payment(spark, sf_dir):
 
 
 def _clean_risk(spark, sf_dir):
-    return clean.clean_risk(_risk(spark, sf_dir), mean=_dti_mean(spark, sf_dir))
+    return clean.clean_risk(
+        _risk(spark, sf_dir), mean=_dti_mean(spark, sf_dir), unique_keys=True
+    )
 
 
 def _filled_dti(spark, sf_dir):
@@ -130,13 +139,13 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 def _csv_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "csv")
-    writers.write_csv(loan_view(spark, sf_dir), path, nullValue="NULL")
+    writers.write_csv(_loans(spark, sf_dir), path, nullValue="NULL")
     return readers.read_loans_csv(spark, path, nullValue="NULL")
 
 
 def _parquet_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "parquet")
-    writers.write_parquet(loan_view(spark, sf_dir), path)
+    writers.write_parquet(_loans(spark, sf_dir), path)
     return readers.read_parquet(spark, path)
 
 
@@ -188,13 +197,52 @@ def _grade_views(spark, sf_dir):
     return first
 
 
+def _job(spark) -> Job:
+    name = f"run_{uuid.uuid4().hex}_"
+    return Job(spark, shared_dir(spark, "job"), BUCKETS, prefix=name)
+
+
 def _full_run(spark, sf_dir):
-    run = uuid.uuid4().hex
-    job = Job(spark, shared_dir(spark, "job"), prefix=f"run_{run}_")
-    job.run(loan_view(spark, sf_dir))
+    job = _job(spark)
+    job.run(_loans(spark, sf_dir))
     return job.checks()["grades"]
 
 
+def _stored(table: str, *layers: str) -> Query:
+    """Rows that the job stored, from the layers needed for them."""
+
+    def query(spark, sf_dir):
+        job = _job(spark)
+        job.stage(_loans(spark, sf_dir))
+        for layer in layers:
+            getattr(job, layer)()
+        rows = job.table(table).drop("ingestion_date")
+        return _rounded(rows, "dti") if "dti" in rows.columns else rows
+
+    return query
+
+
+def _stored_report(spark, sf_dir):
+    """All report rows, read through the view of each grade."""
+    job = _job(spark)
+    job.run(_loans(spark, sf_dir))
+    first, *others = (job.grade(grade) for grade in schemas.GRADES)
+    for other in others:
+        first = first.unionByName(other)
+    return _rounded(first.drop("ingestion_date"), "dti")
+
+
+def _csv_inferred(spark, sf_dir):
+    """A CSV file read with inferred types."""
+    path = shared_dir(spark, "csv")
+    orders = readers.read_parquet(spark, f"{sf_dir}/orders.parquet")
+    rows = orders.selectExpr("o_orderkey AS k", "o_totalprice AS amount", "o_orderpriority AS label")
+    writers.write_csv(rows, path)
+    return readers.read_loans_csv(spark, path, schema=None).selectExpr(
+        "cast(k AS bigint) AS k", "amount", "label"
+    )
+
+
 # --- the other queries that take more than one call ------------------------------------
 
 
@@ -213,10 +261,8 @@ def _ingestion_date(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
-    """Split, clean and join, over rows that were de-duplicated and stored once."""
-    path = shared_dir(spark, "deduplicated")
-    writers.write_parquet(_unique(spark, sf_dir), path)
-    rows = readers.read_parquet(spark, path)
+    """Split, clean and join, over rows that were de-duplicated and stored in buckets."""
+    rows = _job(spark).deduplicate(_loans(spark, sf_dir))
     risk = clean.clean_risk(clean.split_risk(rows), unique_keys=True)
     joined = join.crunched(
         clean.known_delinquency(risk),
@@ -276,7 +322,7 @@ def queries() -> dict[str, Query]:
         "grade_views": _grade_views,
         "full_run": _full_run,
         # keys
-        "key_subset": lambda s, d: keys.key_columns(loan_view(s, d)),
+        "key_subset": lambda s, d: keys.key_columns(_loans(s, d)),
         "member_key": _keyed,
         "key_counts": lambda s, d: keys.key_counts(_keyed(s, d)),
         "dup_keys": lambda s, d: keys.duplicate_keys(_keyed(s, d)),
@@ -370,11 +416,24 @@ def queries() -> dict[str, Query]:
         "state_anomaly": lambda s, d: quality.state_anomaly(_customers(s, d)),
         "payment_identity": lambda s, d: quality.payment_identity(_clean_payment(s, d)),
         "investor_gap": lambda s, d: _rounded(
-            quality.investor_gap(_clean_payment(s, d)), "mean_gap"
+            quality.investor_gap(_clean_payment(s, d)), "mean_gap", "largest_gap"
         ),
         "principal_interest_share": lambda s, d: _rounded(
             quality.principal_interest_share(_clean_payment(s, d)), "share"
+        ).selectExpr(
+            "round(principal_and_interest, 2) AS principal_and_interest",
+            "round(total_paid, 2) AS total_paid",
+            "share",
         ),
+        # what the job stores
+        "landed_customers": _stored(schemas.CUSTOMERS_TABLE, "land"),
+        "landed_loans": _stored(schemas.LOANS_TABLE, "land"),
+        "landed_payments": _stored(schemas.PAYMENTS_TABLE, "land"),
+        "landed_risk": _stored(schemas.RISK_TABLE, "land"),
+        "landed_ultra_risk": _stored(schemas.ULTRA_RISK_TABLE, "land"),
+        "stored_crunched": _stored(schemas.CRUNCHED_TABLE, "land", "crunch"),
+        "stored_report": _stored_report,
+        "csv_inferred": _csv_inferred,
         # join and filters
         "crunched": _joined,
         "crunched_projection": _complete_report,

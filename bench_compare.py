@@ -26,7 +26,7 @@ from credmill.operators import keys  # noqa: E402
 from credmill.plans import single_pass  # noqa: E402
 from credmill.session import build_session  # noqa: E402
 from credmill.sources import writers  # noqa: E402
-from credmill.sources.loan_view import loan_view  # noqa: E402
+from loan_view import loan_view  # noqa: E402
 from credmill.sources.scratch import shared_dir  # noqa: E402
 
 

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from credmill import schemas
 from credmill.schemas import KEY
 
-# Keys with at least this many copies are dropped by a broadcast before any
-# shuffle.  There are at most rows / HOT_COPIES of them: a million keys of 64
-# characters, some 100 MB, if all of 250 billion rows were such copies.  Below
-# it, the copies of one key are some 100 MB of wide rows, the size of a normal
-# shuffle partition, so no partition of the join becomes lopsided.
+# Keys with at least so many copies, and with at least a millionth of all rows, are
+# dropped by a broadcast before any shuffle.  So there are never more than a million of
+# them, at any size: 64 characters each, a few hundred MB as a hash table at the very
+# most.  Every other key has under a millionth of the rows, or some 100 MB of wide rows.
 HOT_COPIES = 250_000
+MAX_HOT_KEYS = 1_000_000
 
 
 def key_columns(df: DataFrame) -> DataFrame:
@@ -62,17 +62,26 @@ def most_copied_key(keyed: DataFrame) -> DataFrame:
     )
 
 
-def exclude_duplicates(keyed: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
+def exclude_duplicates(
+    keyed: DataFrame, hot_copies: int = HOT_COPIES, *, partitions: int | None = None
+) -> DataFrame:
     """Drop every row whose key occurs more than once, as anti joins.
 
     Rows of the hottest keys never reach a shuffle.  The other duplicate keys
     go through a join without a hint, so Spark broadcasts them only when their
-    estimated size allows it.  Both joins read one and the same count.
+    estimated size allows it.  Both joins and the number of all rows read one and the
+    same count.  With ``partitions`` the wide rows are laid out in so many partitions
+    by key, which the second join then uses.
     """
     counts = key_counts(keyed)
-    hot = counts.where(f"member_count >= {hot_copies}").select(KEY)
-    other = counts.where(f"member_count > 1 AND member_count < {hot_copies}").select(KEY)
-    return keyed.join(F.broadcast(hot), KEY, "left_anti").join(other, KEY, "left_anti")
+    total = counts.selectExpr("sum(member_count) AS total").scalar()
+    bound = F.greatest(F.lit(hot_copies), F.ceil(total / MAX_HOT_KEYS))
+    hot = counts.where("member_count > 1").where(F.col("member_count") >= bound).select(KEY)
+    other = counts.where("member_count > 1").where(F.col("member_count") < bound).select(KEY)
+    rows = keyed.join(F.broadcast(hot), KEY, "left_anti")
+    if partitions:
+        rows = rows.repartition(partitions, KEY)
+    return rows.join(other, KEY, "left_anti")
 
 
 def rows_per_key(keyed: DataFrame) -> DataFrame:

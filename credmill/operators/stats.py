@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from credmill.functions.text import digits
 
-# Bins per doubling of the value in ``lower_median``.
-_BINS_PER_OCTAVE = 65536
+# Equal parts of a range in each round of ``lower_median``, and rounds.
+_BINS = 65536
+_ROUNDS = 3
 
 
 def emp_years() -> str:
@@ -40,42 +41,55 @@ def dti_spread(risk: DataFrame) -> DataFrame:
 def lower_median(df: DataFrame, column: str, name: str) -> DataFrame:
     """The exact lower median: an element of the data, NULL if there is none.
 
-    Equal values are counted first, so a hot value is one row.  A histogram over
-    bins on a logarithmic scale then finds the bin with the middle rank, and only
-    that bin is ranked value by value.  The unpartitioned windows see little:
-    amounts up to a billion fall into two million bins at most, and a bin is
-    0.001 % wide, which around 60,000 is some 60 amounts in cents, or a few million
-    values if hundreds of billions of rows all held different fractions.
+    Equal values are counted first, so a hot value is one row.  The middle rank is then
+    closed in on: first its sign and power of two, then three times one of ``_BINS`` equal
+    parts of the range that is left.  Each round counts by bin in partial aggregates and
+    ranks the bins, at most ``_BINS`` rows, in a window.  A double has 52 bits behind its
+    power of two and three rounds take 16 each, so the last ranking sees a handful
+    of neighbouring values.  All rounds read one and the same count.
     NULL and NaN do not count.
     """
     counted = (
-        df.selectExpr(f"`{column}` AS value")
-        .where("value IS NOT NULL AND NOT isnan(cast(value AS double))")
-        .groupBy("value")
-        .agg(F.expr("count(1) AS copies"))
-        .selectExpr(
-            "value",
-            "copies",
-            f"floor(signum(value) * log2(abs(value) + 1) * {_BINS_PER_OCTAVE}) AS bin",
-        )
+        df.selectExpr(f"`{column}` AS grouped")
+        .where("grouped IS NOT NULL AND NOT isnan(cast(grouped AS double))")
+        .groupBy("grouped")
+        # The range filters below are on an aggregate: they stay above the shuffle, which
+        # all rounds so share.
+        .agg(F.expr("max(grouped) AS value"), F.expr("count(1) AS copies"))
+        .select("value", "copies")
     )
-    bins = counted.groupBy("bin").agg(F.expr("sum(copies) AS in_bin"))
-    # The single row of the bin that holds the middle rank.
-    middle_bin = bins.selectExpr(
-        "bin",
-        "sum(in_bin) OVER (ORDER BY bin) AS last",
-        "in_bin",
-        "ceil(sum(in_bin) OVER () / 2) AS middle",
-    ).where("last - in_bin < middle AND middle <= last")
-    return (
-        counted.join(F.broadcast(middle_bin), "bin")
-        .selectExpr(
-            "value",
-            "middle",
-            "sum(copies) OVER (ORDER BY value) + last - in_bin AS up_to",
-        )
-        .where("up_to >= middle")
-        .selectExpr(f"min(value) AS `{name}`")
+    power = "least(floor(log2(abs(cast(value AS double)))), 1100) + 1200"
+    found = _middle_bin(counted, f"if(value = 0, 0, signum(value) * ({power}))", None)
+    share = "(cast(value AS double) - found.low) / (cast(found.high AS double) - found.low)"
+    for _ in range(_ROUNDS):
+        part = f"if(found.high > found.low, least(floor({share} * {_BINS}), {_BINS - 1}), 0)"
+        found = _middle_bin(_within(counted, found), part, "found")
+    ranked = _within(counted, found).selectExpr(
+        "value", "found.middle", "found.before + sum(copies) OVER (ORDER BY value) AS up_to"
+    )
+    return ranked.where("up_to >= middle").selectExpr(f"min(value) AS `{name}`")
+
+
+def _within(counted: DataFrame, found: DataFrame) -> DataFrame:
+    """The values of the bin found last, with what is known of it."""
+    bin_found = found.selectExpr("struct(*) AS found").scalar()
+    return counted.withColumn("found", bin_found).where("value BETWEEN found.low AND found.high")
+
+
+def _middle_bin(counted: DataFrame, part: str, known: str | None) -> DataFrame:
+    """One row: bounds of the bin with the middle rank, the values before it, the rank."""
+    kept = ["max(found.before) AS earlier", "max(found.middle) AS middle"] if known else []
+    bins = counted.withColumn("part", F.expr(part)).groupBy("part").agg(
+        F.expr("sum(copies) AS in_bin"), F.expr("min(value) AS low"), F.expr("max(value) AS high"),
+        *map(F.expr, kept),
+    )
+    middle = "middle" if known else "ceil(sum(in_bin) OVER () / 2) AS middle"
+    earlier = "earlier" if known else "0"
+    ranked = bins.selectExpr(
+        "low", "high", "in_bin", f"{earlier} + sum(in_bin) OVER (ORDER BY part) AS up_to", middle
+    )
+    return ranked.where("up_to - in_bin < middle AND middle <= up_to").selectExpr(
+        "low", "high", "up_to - in_bin AS before", "middle"
     )
 
 

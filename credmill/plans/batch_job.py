@@ -20,6 +20,12 @@ from credmill.schemas import KEY
 from credmill.sources import writers
 
 DEDUPED_TABLE = "deduplicated_loans"
+BUCKET_BYTES = 256 << 20
+
+
+def buckets_for(input_bytes: int) -> int:
+    """Buckets of some 256 MB for an input of that size."""
+    return max(1, -(-input_bytes // BUCKET_BYTES))
 
 
 @dataclass(frozen=True)
@@ -30,16 +36,17 @@ class Job:
     ``prefix``   put before every table and view name, for example ``"db."``
     ``names``    other names for single tables, by their default names
     ``fmt``      table format of the landing and reporting layers
-    ``buckets``  buckets per table; 0 means ``spark.sql.shuffle.partitions``.
+    ``buckets``  buckets per table and partitions of the one wide shuffle; choose it so
+                 that a bucket of wide rows has 128 to 512 MB (``buckets_for``).
                  Formats other than Parquet and ORC are written unbucketed.
     ``as_of``    ingestion time; None means the time of the run
     """
 
     spark: SparkSession
     root: str
+    buckets: int
     prefix: str = ""
     fmt: str = "parquet"
-    buckets: int = 0
     as_of: datetime | None = None
     max_records_per_file: int | None = None
     names: dict[str, str] = field(default_factory=dict)
@@ -55,9 +62,9 @@ class Job:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    @property
-    def bucket_count(self) -> int:
-        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def __post_init__(self) -> None:
+        if self.buckets < 1:
+            raise ValueError("buckets must be at least 1; see buckets_for")
 
     # -- layers --
 
@@ -65,11 +72,11 @@ class Job:
         bucketed = fmt in ("parquet", "orc")
         writers.write_table(
             # Spark drops this exchange where the rows are laid out so already.
-            df.repartition(self.bucket_count, KEY) if bucketed else df,
+            df.repartition(self.buckets, KEY) if bucketed else df,
             self.name(table),
             self.path(layer, table),
             fmt=fmt,
-            buckets=self.bucket_count if bucketed else None,
+            buckets=self.buckets if bucketed else None,
             max_records_per_file=self.max_records_per_file,
         )
 
@@ -83,11 +90,16 @@ class Job:
             for write in writes:
                 write.result()
 
+    def deduplicate(self, loans: DataFrame) -> DataFrame:
+        """Write the loans with unambiguous keys; the one shuffle of wide rows."""
+        keyed = keys.with_member_key(loans)
+        unique = keys.exclude_duplicates(keyed, partitions=self.buckets)
+        self._save(unique, "staging", DEDUPED_TABLE, "parquet")
+        return self.table(DEDUPED_TABLE)
+
     def stage(self, loans: DataFrame) -> None:
         """Key and de-duplicate the loans, then write the four splits."""
-        unique = keys.exclude_duplicates(keys.with_member_key(loans))
-        self._save(unique, "staging", DEDUPED_TABLE, "parquet")
-        rows = self.table(DEDUPED_TABLE)
+        rows = self.deduplicate(loans)
         splits = {table: clean.split(rows, table) for table in schemas.SPLITS}
         self._save_all(splits, "staging", "parquet")
 
@@ -127,7 +139,10 @@ class Job:
         writers.create_grade_views(
             self.spark,
             self.name(schemas.REPORT_TABLE),
-            pattern=self.prefix + schemas.GRADE_VIEW,
+            names={
+                grade: self.name(schemas.GRADE_VIEW.format(grade=grade))
+                for grade in schemas.GRADES
+            },
         )
 
     def run(self, loans: DataFrame) -> None:

@@ -73,9 +73,8 @@ def crunched(keyed: DataFrame, *, as_of: datetime | None = None) -> DataFrame:
 
 
 SCORE_INPUTS = (
-    "loan_amnt", "funded_amnt", "annual_inc", "dti", "delinq_2yrs",
-    "mths_since_last_delinq", "revol_bal", "total_acc", "out_prncp",
-    "out_prncp_inv",
+    *(name for name in schemas.CRITICAL_COLUMNS if name != KEY),
+    "mths_since_last_delinq",
 )
 
 
@@ -134,7 +133,7 @@ def row_counts(keyed: DataFrame) -> DataFrame:
     joined = f"{unique} AND {clean.KNOWN_DELINQUENCY}"
     complete = f"{joined} AND {score.critical_values_present(per_key)}"
     stages = {
-        "raw": "sum(member_count)",
+        "raw": "coalesce(sum(member_count), 0)",
         "deduplicated": f"count_if({unique})",
         "customers": f"count_if({unique} AND {clean.HAS_INCOME})",
         "joined": f"count_if({joined})",

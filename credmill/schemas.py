@@ -193,4 +193,4 @@ ULTRA_RISK_TABLE = "ultra_clean_credit_risk_dataset"
 CRUNCHED_TABLE = "crunched_dataset"
 REPORT_TABLE = "graded_score_dataset"
 GRADE_VIEW = "{grade}_score_dataset"
-DEDUPED_VIEW = "LCD_2"
+DEDUPED_VIEW = "deduplicated_loans_view"

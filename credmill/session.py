@@ -13,6 +13,8 @@ SETTINGS = {
     # above that is better run operator by operator than interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
+    # Buckets of one file are read in the order they were written in.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 

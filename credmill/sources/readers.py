@@ -14,6 +14,7 @@ def read_loans_csv(
     *,
     schema: str | None = schemas.LOAN_SCHEMA,
     corrupt_column: str | None = None,
+    on_error: str = "null",
     **options,
 ) -> DataFrame:
     """Read a loan CSV with a header row.
@@ -21,9 +22,16 @@ def read_loans_csv(
     The declared schema is the default, because inference costs a further pass
     over the whole file.  Declared columns are found by name: the file may hold
     more columns, in any order.  ``schema=None`` infers the types instead.
-    ``corrupt_column`` names a string column that keeps the lines that do not
-    parse; without it the fields that do not parse are NULL.
+    ``on_error`` says what becomes of fields that do not parse: ``"null"`` makes them
+    NULL, ``"keep"`` also keeps their line in the string column ``corrupt_column``
+    (``_corrupt_record`` by default), and ``"fail"`` ends the read.
     """
+    if on_error not in ("null", "keep", "fail"):
+        raise ValueError(f"on_error is null, keep or fail, not {on_error!r}")
+    if on_error == "keep":
+        corrupt_column = corrupt_column or "_corrupt_record"
+    if on_error == "fail":
+        options["mode"] = "FAILFAST"
     if schema is None:
         return spark.read.csv(path, header=True, inferSchema=True, **options)
     declared = StructType.fromDDL(schema)
@@ -65,16 +73,3 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a scan over all cores if it comes as too few partitions for them.
-
-    A file of a single row group, or a compressed text file, cannot be split and
-    would keep one core busy.  A large input has more partitions than cores and
-    passes unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -56,6 +56,8 @@ def write_table(
 
     With ``buckets`` the table is bucketed and sorted on ``key``, so that later
     joins on it need no shuffle.  Keys are unique by then, so buckets are even.
+    Where a bucket is one file and ``session.SETTINGS`` holds, they need no sort either;
+    ``max_records_per_file`` gives that up.
     """
     writer = _writer(df, max_records_per_file).format(fmt).option("path", path)
     if buckets:
@@ -87,17 +89,21 @@ def create_grade_views(
     *,
     grades: Iterable[str] = schemas.GRADES,
     pattern: str = schemas.GRADE_VIEW,
+    names: dict[str, str] | None = None,
 ) -> list[str]:
-    """One catalog view per grade; reading it touches that grade's files only."""
-    names = []
+    """One catalog view per grade; reading it touches that grade's files only.
+
+    ``names`` gives the view of each grade its name, else ``pattern`` does.
+    """
+    views = []
     for grade in grades:
-        view = pattern.format(grade=grade)
+        view = (names or {}).get(grade) or pattern.format(grade=grade)
         spark.sql(
             f"CREATE OR REPLACE VIEW {view} AS "
             f"SELECT * FROM {table} WHERE credit_grade = '{grade}'"
         )
-        names.append(view)
-    return names
+        views.append(view)
+    return views
 
 
 def read_grade(df: DataFrame, grade: str) -> DataFrame:

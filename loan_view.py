@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credmill.functions.columns import aliased
-from credmill.sources.readers import read_parquet, spread
+from credmill.sources.readers import read_parquet
 
 ORDERS_SCHEMA = """
     o_orderkey bigint, o_custkey bigint, o_orderstatus string,
@@ -117,10 +117,11 @@ LOAN_EXPRESSIONS = {
 PER_COPY = ("loan_amnt", "funded_amnt")
 
 
-def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loan_view(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The loan-shaped table over ``orders`` and ``customer`` in ``sf_dir``.
 
-    The copies come from one ``explode`` over the joined rows, so both tables
+    ``partitions`` spreads the orders over so many partitions, for files that cannot be
+    split.  The copies come from one ``explode`` over the joined rows, so both tables
     are scanned once.  The join carries no hint: Spark broadcasts ``customer``
     while its file size allows it and shuffles beyond that.
 
@@ -130,9 +131,9 @@ def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = read_parquet(spark, f"{sf_dir}/orders.parquet", ORDERS_SCHEMA)
     customer = read_parquet(spark, f"{sf_dir}/customer.parquet", CUSTOMER_SCHEMA)
-    joined = spread(orders, "o_orderkey").join(
-        customer, F.col("o_custkey") == F.col("c_custkey")
-    )
+    if partitions:
+        orders = orders.repartition(partitions, "o_orderkey")
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     early = [name for name in list(LOAN_EXPRESSIONS)[::2] if name not in PER_COPY]
     return (
         joined.selectExpr(*aliased(BASE_COLUMNS))

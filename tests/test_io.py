@@ -89,10 +89,3 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert first.startswith(root) and first != second
-
-
-def test_spread_leaves_wide_inputs_alone(spark):
-    wide = spark.range(0, 100, 1, 8)
-    assert readers.spread(wide, "id") is wide
-    narrow = spark.range(0, 100, 1, 1)
-    assert readers.spread(narrow, "id").rdd.getNumPartitions() == 4

@@ -14,7 +14,7 @@ from credmill.operators import clean, join, keys, score, stats
 from credmill.plans import single_pass
 from credmill.plans.batch_job import DEDUPED_TABLE, Job
 from credmill.schemas import KEY
-from credmill.sources.loan_view import loan_view
+from loan_view import loan_view
 from tests.plans import count, explain
 
 AS_OF = datetime(2020, 1, 1)
@@ -255,7 +255,7 @@ def test_job_writes_one_file_per_bucket(job):
 
 
 def test_tables_can_have_other_names(spark, tmp_path):
-    job = Job(spark, str(tmp_path), prefix="db.", names={schemas.CRUNCHED_TABLE: "loans_joined"})
+    job = Job(spark, str(tmp_path), 4, prefix="db.", names={schemas.CRUNCHED_TABLE: "loans_joined"})
     assert job.name(schemas.CRUNCHED_TABLE) == "db.loans_joined"
     assert job.name(schemas.LOANS_TABLE) == f"db.{schemas.LOANS_TABLE}"
 
