@@ -107,9 +107,10 @@ def linked_pairs(one: Tile, other: Tile, threshold: float) -> tuple[np.ndarray,
     a, b = np.nonzero(known >= least)
     done = first
     partial = known[a, b] - one.suffix[a, first] * other.suffix[b, first]
-    for step in (*STEPS[1:], one.turned.shape[1]):
-        if step <= done or not len(a):
-            continue
+    width = one.turned.shape[1]
+    for step in (*(s for s in STEPS[1:] if s < width), width):
+        if not len(a):
+            break
         keep = np.empty(len(a), bool)
         for low in range(0, len(a), 1 << 18):  # so many pairs at a time
             part = slice(low, low + (1 << 18))
