@@ -14,7 +14,7 @@ source or id.
 
 The lexicon counts all training rows in Spark and keeps the ``LEXICON_TERMS`` strongest
 terms, so it and its trie are bounded.  The logistic model, which has a handful of weights,
-is fitted on at most ``FIT_ROWS`` labelled rows.
+is fitted on about ``FIT_ROWS`` labelled rows at most, chosen by a hash of their ids.
 
 Defined cases: a NULL or empty text has no hits and gets the score of a clean text;
 without labels of both kinds all scores are 0; a document with several labels counts as
@@ -44,6 +44,7 @@ MIN_TOXIC_SHARE = 0.01
 MIN_LOG_ODDS = 3.0
 STEM_CHARS = (4, 5, 6, 7)
 FIT_ROWS = 20_000
+SHARES = 1 << 20
 WINDOW_WORDS = 6
 FUZZY_CHARS = 5  # shorter terms must match letter by letter
 MEMO_WORDS = 400_000
@@ -331,13 +332,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         .agg(F.max("toxic").alias("toxic"))
     )
     part = train_part(F.col("doc_id"))
-    labelled = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .filter(part != 2)
-        .join(known.filter(part != 2), "doc_id")
-        .withColumn("part", part)
-    )
-    lexicon = learn_lexicon(labelled.filter("part <> 3").select("text", "toxic"))
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+
+    def labelled(*parts: int, share: float = 1.0) -> DataFrame:
+        chosen = part.isin(*parts) & (F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)) < math.ceil(share * SHARES))
+        # Labels grow with the documents, so they are never broadcast.
+        return texts.filter(chosen).join(known.filter(chosen).hint("merge"), "doc_id").select("text", "toxic")
+
+    lexicon = learn_lexicon(labelled(0, 1))
     schema = pa.schema([("toxic", pa.int32()), ("row", pa.list_(pa.float64()))])
 
     def rows(batches):
@@ -346,9 +348,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             found = _feature_rows(batch, memo)
             yield pa.record_batch([batch.column("toxic"), pa.array(list(found), schema[1].type)], schema=schema)
 
-    for chosen in ("part = 3", "true"):
-        sample = labelled.filter(chosen).orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS).select("text", "toxic")
-        gathered = sample.mapInArrow(rows, "toxic int, row array<double>").collect()
+    for parts in ((3,), (0, 1, 3)):
+        share = min(1.0, FIT_ROWS / max(1, known.filter(part.isin(*parts)).count()))
+        gathered = labelled(*parts, share=share).mapInArrow(rows, "toxic int, row array<double>").collect()
         targets = np.array([row.toxic for row in gathered], float)
         if len(set(targets.tolist())) == 2:
             return Model(lexicon, fit_logistic(np.array([row.row for row in gathered]), targets))
