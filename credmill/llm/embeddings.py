@@ -258,3 +258,27 @@ def _write_links(tiles: DataFrame, turns: dict, threshold: float, path: str) ->
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: links and components of all embeddings."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE list_count(embedding) = len(embedding) AND len(embedding) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM vectors a JOIN vectors b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE isfinite(list_cosine_similarity(a.v, b.v)) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), both_ways AS (
+  SELECT a AS here, b AS there FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT here, there FROM both_ways
+  UNION SELECT r.here, l.there FROM reach r JOIN both_ways l ON r.there = l.here
+), lowest AS (
+  SELECT here AS vec_id, min(there) AS low FROM reach GROUP BY here
+), counts AS (
+  SELECT here AS vec_id, count(*) AS n FROM both_ways GROUP BY here
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN lowest USING (vec_id)
+"""

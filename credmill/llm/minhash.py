@@ -158,7 +158,7 @@ def _pairs_across(listed: DataFrame, sketch: int, common: int, percent: int, blo
     """Pairs of classes in different components whose sketches may be those of linked sets.
 
     ``listed`` has value, size of the list, class, number of shingles, component, sketch
-    and ``on``, all lists that the class is on.  A pair is found once, in the largest
+    and ``on``, all lists that the class is on, the largest first.  A pair is found once, in the largest
     list that both are on, together with the block of that list.
     """
     blocks = F.ceil(F.col("size") / block).cast("int")
@@ -172,21 +172,23 @@ def _pairs_across(listed: DataFrame, sketch: int, common: int, percent: int, blo
     def compare(batches):
         for batch in batches:
             found = []
-            for row in batch.to_pylist():
-                key = (row["value"], row["low"], row["high"])
-                found += [(*key, a, b) for a, b in _block_pairs(row, sketch, common, percent)]
+            keys = zip(*(batch.column(name).to_pylist() for name in ("value", "low", "high")))
+            lists = batch.column("members")
+            for at, key in enumerate(keys):  # one list at a time, as Python objects
+                pairs = _block_pairs(lists[at].as_py(), key, sketch, common, percent)
+                found += [(*key, a, b) for a, b in pairs]
             if found:
                 yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
 
     return grouped.mapInArrow(compare, "value long, low long, high long, a long, b long")
 
 
-def _block_pairs(row: dict, sketch: int, common: int, percent: int):
-    members, value, apart = row["members"], row["value"], row["low"] != row["high"]
+def _block_pairs(members: list[dict], key: tuple, sketch: int, common: int, percent: int):
+    value, apart = key[0], key[1] != key[2]
     members.sort(key=lambda m: m["n"])
     for m in members:
         m["values"] = frozenset(m["sketch"])
-        m["lists"] = {(on["size"], on["value"]) for on in m["on"]}
+        m["lists"] = frozenset(m["on"])
         m["needed"] = needed_common(m["n"], sketch, common, percent)
     for at, one in enumerate(members):
         for other in members[at + 1 :]:
@@ -196,7 +198,9 @@ def _block_pairs(row: dict, sketch: int, common: int, percent: int):
                 continue
             both = one["values"] & other["values"]
             needed = max(one["needed"], other["needed"])
-            if len(both) < needed or max(one["lists"] & other["lists"])[1] != value:
+            if len(both) < needed:
+                continue
+            if next(v for v in one["on"] if v in other["lists"]) != value:
                 continue
             if union_common(one["values"], other["values"], both, sketch) >= needed:
                 yield one["rep"], other["rep"]
@@ -312,7 +316,11 @@ def near_duplicates(
     known = listed.join(so_far, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_lists = known.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_lists = open_lists.filter("x <> y").select("value")
-    on = listed.groupBy("rep").agg(F.collect_list(F.struct("size", "value")).alias("on"))
+    on = listed.groupBy("rep").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("size", "value")), asc=False), lambda m: m["value"]
+        ).alias("on")
+    )
     members = known.join(open_lists, "value").join(on, "rep").join(short.select("rep", "sketch"), "rep")
     pairs = stored(_pairs_across(members, sketch, common, percent, block), "pairs")
     second = stored(_verified(pairs, docs, shingle_words, percent), "second-links")
@@ -345,3 +353,38 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: components of all documents by their 2-word shingles."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle_words=2)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, words[pos] || ' ' || words[pos + 1] AS shingle
+  FROM texts, unnest(range(1, len(words))) AS places(pos)
+  UNION ALL
+  SELECT doc_id, words[1] FROM texts WHERE len(words) = 1
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * both >= 80 * (x.n + y.n - both)
+), reach AS (
+  SELECT a AS here, b AS there FROM links
+  UNION SELECT b, a FROM links
+  UNION SELECT r.here, l.there
+  FROM reach r JOIN (SELECT a AS here, b AS there FROM links UNION ALL SELECT b, a FROM links) l
+    ON r.there = l.here
+), lowest AS (
+  SELECT here AS doc_id, min(there) AS low FROM reach GROUP BY here
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id <= coalesce(low, doc_id) AS kept
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""

@@ -126,3 +126,29 @@ def digests(docs: DataFrame, width: int = WORDS) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: what stays of each document without recurring passages of 13 words."""
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, pos, array_to_string(words[pos : pos + 12], ' ') AS run
+  FROM texts, unnest(range(1, len(words) - 11)) AS places(pos)
+), firsts AS (
+  SELECT run, min(doc_id) AS holder FROM windows GROUP BY run
+), gone AS (
+  SELECT DISTINCT doc_id, pos + step AS place
+  FROM windows JOIN firsts USING (run), unnest(range(0, 13)) AS steps(step)
+  WHERE holder < doc_id
+), each_word AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
+), counted AS (
+  SELECT e.doc_id, count(g.place) AS n_removed,
+    string_agg(word, ' ' ORDER BY e.place) FILTER (WHERE g.place IS NULL) AS kept
+  FROM each_word e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.place = g.place
+  GROUP BY e.doc_id
+)
+SELECT t.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN counted c ON t.doc_id = c.doc_id
+"""

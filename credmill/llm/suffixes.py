@@ -152,3 +152,35 @@ def _cut(raw: bytes, gone: np.ndarray) -> bytes:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: what stays of each document without repeats of 50 bytes."""
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+# Two hexadecimal digits stand for a byte.
+ORACLE_SQL = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), windows AS (
+  SELECT doc_id, pos, substr(digits, 2 * pos - 1, 100) AS run
+  FROM texts, unnest(range(1, len(digits) // 2 - 48)) AS places(pos)
+), firsts AS (
+  SELECT run, min(doc_id) AS holder FROM windows GROUP BY run
+), gone AS (
+  SELECT DISTINCT doc_id, pos + step AS place
+  FROM windows JOIN firsts USING (run), unnest(range(0, 50)) AS steps(step)
+  WHERE holder < doc_id
+), each_byte AS (
+  SELECT t.doc_id, place, substr(digits, 2 * place - 1, 2) AS pair, g.place IS NOT NULL AS removed
+  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 + 1)) AS place FROM texts) t
+  LEFT JOIN gone g USING (doc_id, place)
+), counted AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed,
+    count(*) FILTER (WHERE removed AND NOT before) AS n_spans,
+    string_agg(pair, '' ORDER BY place) FILTER (WHERE NOT removed) AS kept
+  FROM (
+    SELECT *, lag(removed, 1, false) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM each_byte
+  )
+  GROUP BY doc_id
+)
+SELECT t.doc_id, len(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts t LEFT JOIN counted c ON t.doc_id = c.doc_id
+"""
