@@ -369,12 +369,12 @@ WITH RECURSIVE texts AS (
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
   FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
   GROUP BY a.doc_id, b.doc_id
 ), links AS (
   SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-  WHERE 100 * both >= 80 * (x.n + y.n - both)
+  WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)
 ), reach AS (
   SELECT a AS here, b AS there FROM links
   UNION SELECT b, a FROM links
