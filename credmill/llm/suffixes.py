@@ -154,29 +154,26 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-# Two hexadecimal digits stand for a byte.
+# Two hexadecimal digits stand for a byte; windows are told apart by a 64-bit hash.
 ORACLE_SQL = """
 WITH texts AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
-), windows AS (
-  SELECT doc_id, pos, substr(digits, 2 * pos - 1, 100) AS run
-  FROM texts, unnest(range(1, len(digits) // 2 - 48)) AS places(pos)
-), firsts AS (
-  SELECT run, min(doc_id) AS holder FROM windows GROUP BY run
-), gone AS (
-  SELECT DISTINCT doc_id, pos + step AS place
-  FROM windows JOIN firsts USING (run), unnest(range(0, 50)) AS steps(step)
-  WHERE holder < doc_id
 ), each_byte AS (
-  SELECT t.doc_id, place, substr(digits, 2 * place - 1, 2) AS pair, g.place IS NOT NULL AS removed
-  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 + 1)) AS place FROM texts) t
-  LEFT JOIN gone g USING (doc_id, place)
+  SELECT doc_id, place, substr(digits, 2 * place - 1, 2) AS pair,
+    CASE WHEN 2 * place + 98 <= len(digits) THEN hash(substr(digits, 2 * place - 1, 100)) END AS run
+  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 + 1)) AS place FROM texts)
+), firsts AS (
+  SELECT run, min(doc_id) AS holder FROM each_byte WHERE run IS NOT NULL GROUP BY run
+), covered AS (
+  SELECT e.doc_id, place, pair, coalesce(bool_or(holder < e.doc_id) OVER (
+    PARTITION BY e.doc_id ORDER BY place ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS removed
+  FROM each_byte e LEFT JOIN firsts f ON e.run = f.run
 ), counted AS (
   SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed,
     count(*) FILTER (WHERE removed AND NOT before) AS n_spans,
     string_agg(pair, '' ORDER BY place) FILTER (WHERE NOT removed) AS kept
   FROM (
-    SELECT *, lag(removed, 1, false) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM each_byte
+    SELECT *, lag(removed, 1, false) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM covered
   )
   GROUP BY doc_id
 )
