@@ -7,8 +7,9 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  makes pa.compute available
 
-# Text that is turned into arrays at once.  One text may be longer.
-SLICE_BYTES = 4 << 20
+# Text that is turned into arrays at once, so little that they stay in the processor's
+# cache.  One text may be longer.
+SLICE_BYTES = 1 << 19
 
 
 def slices(

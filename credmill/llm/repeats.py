@@ -42,6 +42,8 @@ from credmill.sources.scratch import shared_dir
 
 # Text that one bucket stands for.
 BUCKET_BYTES = 16 << 20
+# Items that are hashed at once.
+BLOCK_ITEMS = 1 << 17
 # Compressed text that is handled at once.
 PACKED_SLICE = 1 << 19
 # Text that is handled at once: some twenty arrays of eight bytes for each byte of it.
@@ -86,22 +88,53 @@ class Slice:
             return self.data[self.starts[first] : self.ends[last - 1]].tobytes()
         return self.data[first:last].tobytes()
 
-    def run_hashes(self, width: int) -> np.ndarray:
-        n = max(0, len(self.values) - width + 1)
-        up, down = words.powers(len(self.values))
-        sums = np.zeros(len(self.values) + 1, np.uint64)
-        np.cumsum(self.values * up[: len(self.values)], out=sums[1:])
-        return words.mix((sums[width:] - sums[:n]) * down[:n]) if n else sums[:0]
-
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the short runs, and for each window the smallest of its runs; 0 if
-        the window does not lie in one document."""
-        kind = self.kind
-        hashes = self.run_hashes(kind.anchor)
-        least = _slide(hashes, kind.runs, np.minimum)
-        at = np.arange(len(least))
-        inside = self.bounds[self.doc_of[: len(least)] + 1] - at >= kind.width
-        return hashes, np.where(inside, least, 0).astype(np.uint64)
+    def blocks(self) -> Iterator[tuple[int, int]]:
+        """Items of whole documents, so few that their arrays stay in the processor's cache."""
+        first = 0
+        for last in self.bounds[1:].tolist():
+            if last - first >= BLOCK_ITEMS:
+                yield first, last
+                first = last
+        if first < self.bounds[-1]:
+            yield first, int(self.bounds[-1])
+
+    def run_hashes(self, width: int, first: int, last: int) -> np.ndarray:
+        """Hash of each run of items of a block; 0 where none begins any more."""
+        values = self.values[first:last]
+        n = max(0, len(values) - width + 1)
+        up, down = words.powers(len(values))
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[: len(values)], out=sums[1:])
+        out = np.zeros(len(values), np.uint64)
+        out[:n] = words.mix((sums[width:] - sums[:n]) * down[:n]) if n else 0
+        return out
+
+    def triggers(self) -> np.ndarray:
+        """Items where a phrase begins because of the hash there."""
+        phrase = np.uint64(self.kind.phrase)
+        found = [
+            np.flatnonzero(self.run_hashes(self.kind.trigger, a, b) % phrase == 0) + a
+            for a, b in self.blocks()
+        ]
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each item: the hash of the short run that begins there, the smallest one in
+        the window that begins there (0 if that does not lie in one document), and
+        whether the short run is the anchor of a window."""
+        kind, parts = self.kind, []
+        edge = np.zeros(kind.runs - 1, np.uint64)
+        for a, b in self.blocks():
+            hashes, least = self.run_hashes(kind.anchor, a, b), np.zeros(b - a, np.uint64)
+            smallest = _slide(hashes, kind.runs, np.minimum)
+            inside = self.bounds[self.doc_of[a:b] + 1] - np.arange(a, b) >= kind.width
+            n = len(smallest)
+            least[:n] = np.where(inside[:n], smallest, 0)
+            highest = _slide(np.concatenate([edge, least]), kind.runs, np.maximum)
+            parts.append((hashes, least, (highest == hashes) & (hashes != 0)))
+        if not parts:
+            return edge[:0], edge[:0], np.zeros(0, bool)
+        return tuple(np.concatenate(column) for column in zip(*parts))
 
 
 def _slide(values: np.ndarray, width: int, of: Callable) -> np.ndarray:
@@ -166,8 +199,7 @@ def _phrases(docs: DataFrame, kind: Kind) -> DataFrame:
         for part in slices(batches, limit=TEXT_SLICE):
             ids, versions, texts = _texts(kind, part)
             own = Slice(kind, texts)
-            hits = np.flatnonzero(own.run_hashes(kind.trigger) % np.uint64(kind.phrase) == 0)
-            first = np.union1d(hits, own.bounds[:-1][np.diff(own.bounds) > 0])
+            first = np.union1d(own.triggers(), own.bounds[:-1][np.diff(own.bounds) > 0])
             doc = own.doc_of[first]
             following = np.append(first[1:], own.bounds[-1])
             last = np.minimum(following + kind.width - 1, own.bounds[doc + 1])
@@ -262,9 +294,7 @@ def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
         for part in slices(batches, limit=TEXT_SLICE):
             ids, versions, texts = _texts(kind, part)
             own = Slice(kind, texts)
-            hashes, least = own.anchors()
-            edge = np.zeros(kind.runs - 1, np.uint64)
-            chosen = _slide(np.concatenate([edge, least, edge]), kind.runs, np.maximum) == hashes if len(least) else []
+            hashes, _, chosen = own.anchors()
             at = np.flatnonzero(chosen)
             if not len(at):
                 continue
@@ -339,7 +369,7 @@ def _segments(rows: DataFrame, kind: Kind, buckets: int) -> DataFrame:
         for part in slices(batches, "packed", PACKED_SLICE):
             own = Slice(kind, unpack(part.column("packed")))
             ids, versions = _longs(part, "doc_id"), _longs(part, "version")
-            hashes, least = own.anchors()
+            hashes, least, _ = own.anchors()
             if not len(least):
                 continue
             keys = np.unique(hashes[_places(own, part.column("places").to_pylist())])

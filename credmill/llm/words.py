@@ -41,14 +41,17 @@ def mix(values: np.ndarray) -> np.ndarray:
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
+_largest = [1 << 10]
+
+
 def powers(items: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for as many items at least."""
-    return _powers(1 << max(10, int(items).bit_length()))
+    _largest[0] = max(_largest[0], 1 << int(items).bit_length())
+    return _powers(_largest[0])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse."""
 
     def up_to(base: int) -> np.ndarray:
         steps = np.full(size, base, np.uint64)
