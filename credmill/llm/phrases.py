@@ -28,7 +28,7 @@ from credmill.llm.arrow import slices
 from credmill.llm.repeats import (
     PACKED_SLICE, Kind, Segments, find_repeats, identified, packed, removed, unpack,
 )
-from credmill.llm.words import mix, window_hashes
+from credmill.llm.words import split, window_hashes
 
 WORDS = 13
 
@@ -37,17 +37,19 @@ def word_kind(width: int = WORDS) -> Kind:
     return Kind(words=True, width=width, anchor=max(1, width * 2 // 5), trigger=min(2, width), phrase=32)
 
 
-def confirmed(numbers: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
-    """One place of each window that occurs in more than one document.
+def confirmed(hashes: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
+    """Which windows occur in more than one document.
 
-    ``starts`` are the places of all windows in the numbers of the words.  Windows are
+    ``starts`` are the places of all windows in the hashes of the words.  Windows are
     confirmed by their hash here; the automaton compares the words.
     """
-    keys = window_hashes(mix(numbers.astype(np.uint64) + np.uint64(1)), width)[starts]
+    keys = window_hashes(hashes, width)[starts]
     order = np.argsort(keys, kind="stable")
     first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
     low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
-    return starts[order[first[low < high]]]
+    recurs = np.empty(len(keys), bool)
+    recurs[order] = np.repeat(low < high, np.diff(np.append(first, len(keys))))
+    return recurs
 
 
 def locate(sequences: list[tuple[int, ...]], patterns: list[tuple[int, ...]], width: int) -> tuple:
@@ -68,26 +70,31 @@ def locate(sequences: list[tuple[int, ...]], patterns: list[tuple[int, ...]], wi
 
 def compare_words(width: int):
     def compare(segments: Segments) -> np.ndarray:
-        known: dict[bytes, int] = {}
-        words = [raw.split(b" ") for raw in segments.raw]
-        sizes = np.array([len(w) for w in words])
-        numbers = np.array([known.setdefault(w, len(known)) for own in words for w in own])
+        of = split(segments.raw)
+        sizes, begin = np.diff(of.doc_words), of.doc_words[:-1]
         n_windows = sizes - width + 1
-        begin, window_begin = np.cumsum(sizes) - sizes, np.cumsum(n_windows) - n_windows
+        window_begin = np.cumsum(n_windows) - n_windows
         segment = np.repeat(np.arange(len(sizes)), n_windows)
-        starts = np.arange(len(segment)) - window_begin[segment] + begin[segment]
+        within = np.arange(len(segment)) - window_begin[segment]
+        recurs = confirmed(of.hashes(), begin[segment] + within, segments.ids[segment], width)
         repeat = np.zeros(len(segment), bool)
-        places = confirmed(numbers, starts, segments.ids[segment], width)
-        if len(places):
-            every = numbers.tolist()
-            patterns = [tuple(every[at : at + width]) for at in places.tolist()]
-            sequences = [tuple(every[a : a + n]) for a, n in zip(begin.tolist(), sizes.tolist())]
-            within, start, pattern = locate(sequences, patterns, width)
-            ids = segments.ids[within]
+        if recurs.any():
+            # Only segments with a confirmed window are read word by word.
+            chosen = np.unique(segment[recurs])
+            known: dict[bytes, int] = {}
+            sequences = [
+                tuple([known.setdefault(word, len(known)) for word in segments.raw[i].split(b" ")])
+                for i in chosen.tolist()
+            ]
+            place = np.searchsorted(chosen, segment[recurs])
+            spots = zip(place.tolist(), within[recurs].tolist())
+            patterns = list({sequences[i][at : at + width] for i, at in spots})
+            found, start, pattern = locate(sequences, patterns, width)
+            ids = segments.ids[chosen[found]]
             smallest = np.full(len(patterns), np.iinfo(np.int64).max)
             np.minimum.at(smallest, pattern, ids)
             again = smallest[pattern] < ids
-            repeat[window_begin[within[again]] + start[again]] = True
+            repeat[window_begin[chosen[found[again]]] + start[again]] = True
         return repeat
 
     return compare
