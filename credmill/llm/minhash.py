@@ -16,9 +16,11 @@ Links are found in two steps, neither of which lists all pairs of a group:
 
 1. Each class is compared with the smallest id of the lists it is on (the one met most
    often).  That settles groups of thousands of near copies in as many comparisons.
-2. In each list the pairs of classes that are not yet in one component are estimated
-   from the union of their sketches, and those that may reach the threshold are compared.
-   Lists are cut into blocks of bounded size; lists of one component are left out.
+2. In each list the classes are found that may be linked to one of another component, by
+   a 256-bit image of their sketches.  Only their full sets are brought together; there the
+   pairs are estimated from the union of their sketches, and those that may reach
+   the threshold are compared.  Lists are cut into blocks of bounded size; lists of one
+   component are left out; of each block only links that join something new leave it.
 
 All comparisons that make a link are exact, on the full sets of 64-bit shingle hashes.
 Pairs inside a component need no comparison, so no link between components is lost.
@@ -33,6 +35,7 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -83,11 +86,18 @@ def union_common(one: frozenset, other: frozenset, both: frozenset, sketch: int)
     return len(both) if len(union) <= sketch else sum(value <= union[sketch - 1] for value in both)
 
 
+def _bits(values: np.ndarray) -> bytes:
+    """A bit for each value, by its last eight bits."""
+    marked = np.zeros(256, bool)
+    marked[values & 255] = True
+    return np.packbits(marked).tobytes()
+
+
 def _sketches(docs: DataFrame, width: int, sketch: int) -> DataFrame:
     schema = pa.schema(
         [
             ("doc_id", pa.int64()), ("n_shingles", pa.int64()),
-            ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64())),
+            ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64())), ("bits", pa.binary()),
         ]
     )
 
@@ -95,11 +105,12 @@ def _sketches(docs: DataFrame, width: int, sketch: int) -> DataFrame:
         for part in slices(batches):
             sets = shingle_sets(raw_texts(part.column("text")), width)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            columns = [[len(s) for s in sets], keys, [s[:sketch] for s in sets]]
+            short = [s[:sketch] for s in sets]
+            columns = [[len(s) for s in sets], keys, short, [_bits(s) for s in short]]
             arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])]
             yield pa.record_batch([part.column("doc_id"), *arrays], schema=schema)
 
-    kinds = "doc_id long, n_shingles long, set_key binary, sketch array<long>"
+    kinds = "doc_id long, n_shingles long, set_key binary, sketch array<long>, bits binary"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, kinds)
 
 
@@ -154,33 +165,57 @@ def _listed(classes: DataFrame, sketch: int, common: int, percent: int) -> DataF
     )
 
 
-def _pairs_across(listed: DataFrame, sketch: int, common: int, percent: int, block: int) -> DataFrame:
-    """Pairs of classes in different components whose sketches may be those of linked sets.
+BLOCK_KEY = ("value", "low", "high")
+
 
-    ``listed`` has value, size of the list, class, number of shingles, component, sketch
-    and ``on``, all lists that the class is on, the largest first.  A pair is found once, in the largest
-    list that both are on, together with the block of that list.
+def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: int) -> DataFrame:
+    """Who has to be compared where: blocks of lists, and the classes that may be linked to
+    one of another component there.
+
+    ``listed`` has value, size of the list, class, number of shingles, component and bits.
+    Two sketches have no more values in common than bits, but for values that share a
+    bit, which are counted in.
     """
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     placed = listed.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     grouped = placed.groupBy(
         "value", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")
-    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "sketch", "on")).alias("members"))
-    schema = pa.schema([(name, pa.int64()) for name in ("value", "low", "high", "a", "b")])
+    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "bits")).alias("members"))
+    schema = pa.schema([(name, pa.int64()) for name in (*BLOCK_KEY, "rep", "own")])
 
     def compare(batches):
         for batch in batches:
             found = []
-            keys = zip(*(batch.column(name).to_pylist() for name in ("value", "low", "high")))
+            keys = zip(*(batch.column(name).to_pylist() for name in BLOCK_KEY))
             lists = batch.column("members")
-            for at, key in enumerate(keys):  # one list at a time, as Python objects
-                pairs = _block_pairs(lists[at].as_py(), key, sketch, common, percent)
-                found += [(*key, a, b) for a, b in pairs]
+            for at, key in enumerate(keys):
+                meeting = _may_link(lists[at].as_py(), key[1] != key[2], sketch, common, percent)
+                found += [(*key, m["rep"], m["own"]) for m in meeting]
             if found:
                 yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
 
-    return grouped.mapInArrow(compare, "value long, low long, high long, a long, b long")
+    return grouped.mapInArrow(compare, ", ".join(f"{name} long" for name in schema.names))
+
+
+def _may_link(members: list[dict], apart: bool, sketch: int, common: int, percent: int) -> list[dict]:
+    members.sort(key=lambda m: m["n"])
+    for m in members:
+        m["mask"] = int.from_bytes(m["bits"])
+        m["hidden"] = min(m["n"], sketch) - m["mask"].bit_count()
+        m["needed"] = needed_common(m["n"], sketch, common, percent)
+    meeting = set()
+    for at, one in enumerate(members):
+        for place in range(at + 1, len(members)):
+            other = members[place]
+            if 100 * one["n"] < percent * other["n"]:
+                break  # all further sets are larger still
+            if one["component"] == other["component"] or (apart and one["own"] == other["own"]):
+                continue
+            least = max(one["needed"], other["needed"]) - min(one["hidden"], other["hidden"])
+            if (one["mask"] & other["mask"]).bit_count() >= least:
+                meeting |= {at, place}
+    return [members[at] for at in sorted(meeting)]
 
 
 def _block_pairs(members: list[dict], key: tuple, sketch: int, common: int, percent: int):
@@ -206,35 +241,39 @@ def _block_pairs(members: list[dict], key: tuple, sketch: int, common: int, perc
                 yield one["rep"], other["rep"]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(meeting: DataFrame, known: DataFrame, sets: DataFrame, sketch: int, common: int, percent: int) -> DataFrame:
     """The pairs that are linked by their full sets, less those that others imply.
 
-    Sets travel once to each block that asks for them, not once for each pair.
+    ``known`` has size, component, sketch and lists of each class.  Sets travel once to each
+    block that asks for them, and a block gives at most as many links as it has classes.
     """
-    block = ["value", "low", "high"]
-    sides = pairs.select(*block, F.col("a").alias("rep")).union(pairs.select(*block, F.col("b").alias("rep")))
-    asked = sides.distinct().groupBy("rep").agg(F.collect_list(F.struct(*block)).alias("blocks"))
-    sets = _full_sets(docs, asked.select("rep"), width).join(asked, "rep")
-    dealt = sets.select("rep", "shingles", F.explode("blocks").alias("at")).select("at.*", "rep", "shingles")
-    gathered = dealt.groupBy(*block).agg(F.collect_list(F.struct("rep", "shingles")).alias("sets"))
-    work = pairs.groupBy(*block).agg(F.collect_list(F.struct("a", "b")).alias("pairs")).join(gathered, block)
+    fields = ("rep", "n", "component", "own", "sketch", "on")
+    gathered = (
+        meeting.join(known, "rep")
+        .join(sets, "rep")
+        .groupBy(*BLOCK_KEY)
+        .agg(F.collect_list(F.struct(*fields, "shingles")).alias("members"))
+    )
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def verify(batches):
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1)
-                held = row.column("sets")[0].values
+            keys = zip(*(batch.column(name).to_pylist() for name in BLOCK_KEY))
+            lists = batch.column("members")
+            for at, key in enumerate(keys):
+                held = lists[at].values
+                columns = [held.field(name).to_pylist() for name in fields]
+                members = [dict(zip(fields, values)) for values in zip(*columns)]
                 raw = held.field("shingles")
-                sets = {rep: raw[i].values.to_numpy() for i, rep in enumerate(held.field("rep").to_pylist())}
-                found = _linked(row.column("pairs")[0].as_py(), sets, percent)
+                full = {m["rep"]: raw[i].values.to_numpy() for i, m in enumerate(members)}
+                found = _linked(_block_pairs(members, key, sketch, common, percent), full, percent)
                 if found:
                     yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
 
-    return work.select("pairs", "sets").mapInArrow(verify, "a long, b long")
+    return gathered.mapInArrow(verify, "a long, b long")
 
 
-def _linked(pairs: list[dict], sets: dict[int, np.ndarray], percent: int) -> list[tuple[int, int]]:
+def _linked(pairs: Iterable[tuple[int, int]], sets: dict[int, np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links of one block; a pair that earlier ones have joined is not compared again."""
     joined: dict[int, int] = {}
 
@@ -244,8 +283,7 @@ def _linked(pairs: list[dict], sets: dict[int, np.ndarray], percent: int) -> lis
         return rep
 
     found = []
-    for pair in pairs:
-        a, b = pair["a"], pair["b"]
+    for a, b in pairs:
         x, y = root(a), root(b)
         if x == y:
             continue
@@ -279,7 +317,7 @@ def near_duplicates(
     classes = stored(
         rows.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits")),
         "classes",
     )
     listed = stored(_listed(classes, sketch, common, percent), "lists")
@@ -321,9 +359,16 @@ def near_duplicates(
             F.sort_array(F.collect_list(F.struct("size", "value")), asc=False), lambda m: m["value"]
         ).alias("on")
     )
-    members = known.join(open_lists, "value").join(on, "rep").join(short.select("rep", "sketch"), "rep")
-    pairs = stored(_pairs_across(members, sketch, common, percent, block), "pairs")
-    second = stored(_verified(pairs, docs, shingle_words, percent), "second-links")
+    members = known.join(open_lists, "value").join(classes.select("rep", "bits"), "rep")
+    meeting = stored(_meeting(members, sketch, common, percent, block), "meeting")
+    asked = meeting.select("rep").distinct()
+    about = (
+        short.join(on, "rep")
+        .join(so_far, "rep", "left")
+        .select("rep", "n", "sketch", "on", F.coalesce("component", "rep").alias("component"))
+    )
+    sets = _full_sets(docs, asked, shingle_words)
+    second = stored(_verified(meeting, about.join(asked, "rep"), sets, sketch, common, percent), "second-links")
     parts = connected(first.unionAll(second)).select(F.col("node").alias("rep"), "component")
     of_class = (
         classes.select("set_key", "rep")
