@@ -3,16 +3,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from texts import prose
 
 TOKENS = pytest.importorskip("public_tokenizers")
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def prose(rng: random.Random, n: int, words: int = 400) -> str:
-    return " ".join(f"w{rng.randrange(words)}{rng.choice(['', ',', '.'])}" for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def documents(spark):
     """Build a documents table from (id, text) pairs."""

@@ -8,7 +8,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import prose
+from texts import prose
 
 from credmill.llm import components, embeddings, minhash, phrases, repeats, suffixes
 

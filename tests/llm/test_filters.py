@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from conftest import prose
+from texts import prose
 
 import corpus_pipeline
 from credmill.llm import minhash, packing, quality, registry, suffixes, toxicity, urls
