@@ -172,7 +172,8 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
     """Who has to be compared where: blocks of lists, and the classes that may be linked to
     one of another component there.
 
-    ``listed`` has value, size of the list, class, number of shingles, component and bits.
+    ``listed`` has value, size of the list, class, number of shingles, component, bits and
+    ``on``, all lists that the class is on, the largest first.
     Two sketches have no more values in common than bits, but for values that share a
     bit, which are counted in.
     """
@@ -181,7 +182,7 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
     placed = listed.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     grouped = placed.groupBy(
         "value", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")
-    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "bits")).alias("members"))
+    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "bits", "on")).alias("members"))
     schema = pa.schema([(name, pa.int64()) for name in (*BLOCK_KEY, "rep", "own")])
 
     def compare(batches):
@@ -190,7 +191,7 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
             keys = zip(*(batch.column(name).to_pylist() for name in BLOCK_KEY))
             lists = batch.column("members")
             for at, key in enumerate(keys):
-                meeting = _may_link(lists[at].as_py(), key[1] != key[2], sketch, common, percent)
+                meeting = _may_link(lists[at].as_py(), key, sketch, common, percent)
                 found += [(*key, m["rep"], m["own"]) for m in meeting]
             if found:
                 yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
@@ -198,9 +199,11 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
     return grouped.mapInArrow(compare, ", ".join(f"{name} long" for name in schema.names))
 
 
-def _may_link(members: list[dict], apart: bool, sketch: int, common: int, percent: int) -> list[dict]:
+def _may_link(members: list[dict], key: tuple, sketch: int, common: int, percent: int) -> list[dict]:
+    value, apart = key[0], key[1] != key[2]
     members.sort(key=lambda m: m["n"])
     for m in members:
+        m["lists"] = frozenset(m["on"])
         m["mask"] = int.from_bytes(m["bits"])
         m["hidden"] = min(m["n"], sketch) - m["mask"].bit_count()
         m["needed"] = needed_common(m["n"], sketch, common, percent)
@@ -213,7 +216,10 @@ def _may_link(members: list[dict], apart: bool, sketch: int, common: int, percen
             if one["component"] == other["component"] or (apart and one["own"] == other["own"]):
                 continue
             least = max(one["needed"], other["needed"]) - min(one["hidden"], other["hidden"])
-            if (one["mask"] & other["mask"]).bit_count() >= least:
+            if (one["mask"] & other["mask"]).bit_count() < least:
+                continue
+            # Two classes meet in the largest list that both are on, and nowhere else.
+            if next(v for v in one["on"] if v in other["lists"]) == value:
                 meeting |= {at, place}
     return [members[at] for at in sorted(meeting)]
 
@@ -359,7 +365,7 @@ def near_duplicates(
             F.sort_array(F.collect_list(F.struct("size", "value")), asc=False), lambda m: m["value"]
         ).alias("on")
     )
-    members = known.join(open_lists, "value").join(classes.select("rep", "bits"), "rep")
+    members = known.join(open_lists, "value").join(on, "rep").join(classes.select("rep", "bits"), "rep")
     meeting = stored(_meeting(members, sketch, common, percent, block), "meeting")
     asked = meeting.select("rep").distinct()
     about = (
