@@ -1,11 +1,12 @@
 """Toxicity by a lexicon with misspellings, and by the context of each hit.
 
 The lexicon is learned: whole words and stems that come much more often in documents
-labelled toxic than in others, with the log-odds as weights.  It is kept as a
-trie.  A word is looked up by running its Levenshtein automaton and the trie together, so
-that only branches within the allowed number of errors are walked; of the words that
-cannot have one error, because neither their beginning nor their end is that of a
-term, none are walked at all.
+labelled toxic than in others, with the log-odds as weights.  Its words are kept as
+tries, sharded by the first and by the second half of a word.  A word is looked up by running
+its Levenshtein automaton and the tries of its shards together, so that only branches
+within the allowed number of errors are walked; for a word that cannot have one error,
+because neither its beginning nor its end is that of a term, none are walked at all.
+All learned words can be misspelled, also those for which a stem stands.
 
 Each hit is scored in its window of neighbouring words: quotation marks around it and
 verbs of reporting make it a quotation, words that address the reader make it abuse.  A
@@ -48,6 +49,7 @@ SHARES = 1 << 20
 WINDOW_WORDS = 6
 FUZZY_CHARS = 5  # shorter terms must match letter by letter
 MEMO_WORDS = 400_000
+MEMO_TRIES = 20_000
 
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿"
 # Fixed lists: signs of quotation, verbs of reporting, and words that address someone.
@@ -74,60 +76,63 @@ def train_part(doc_id: Column) -> Column:
 class Node:
     children: dict[str, Node] = field(default_factory=dict)
     word: float | None = None  # weight of the word that ends here
-    stem: float | None = None  # weight of the stem that ends here
 
 
 class Lexicon:
-    """Terms as a trie, with what a word must share with one of them to be near it."""
+    """Terms in shards by half of their letters, each a trie once it is asked for."""
 
     def __init__(self, words: dict[str, float], stems: dict[str, float]):
-        self.root = Node()
-        self.stems = stems
-        self.starts: set[str] = set()
-        self.ends: set[str] = set()
-        for terms, kind in ((words, "word"), (stems, "stem")):
-            for term, weight in terms.items():
-                node = self.root
-                for letter in term:
-                    node = node.children.setdefault(letter, Node())
-                setattr(node, kind, weight)
+        self.words, self.stems = words, stems
+        self.stem_sizes = sorted({len(stem) for stem in stems}, reverse=True)
+        # One error leaves one half of the term whole, so a term is in the shard of each half.
+        self.starts: dict[tuple[str, int], list[str]] = {}
+        self.ends: dict[tuple[str, int], list[str]] = {}
         for term in words:
-            if len(term) >= FUZZY_CHARS:
-                half = len(term) // 2
-                self.starts.add(term[:half])
-                self.ends.add(term[half:])
-        self.start_sizes = sorted({len(s) for s in self.starts})
-        self.end_sizes = sorted({len(e) for e in self.ends})
+            size = len(term)
+            if size >= FUZZY_CHARS:
+                self.starts.setdefault((term[: size // 2], size), []).append(term)
+                self.ends.setdefault((term[size // 2 :], size), []).append(term)
+        self.tries: dict[tuple, Node] = {}
 
     def exact(self, word: str) -> float | None:
         """Weight of the word or of its longest stem."""
-        node, found = self.root, None
-        for letter in word:
-            node = node.children.get(letter)
-            if node is None:
-                return found
-            found = node.stem if node.stem is not None else found
-        return node.word if node.word is not None else found
+        weight = self.words.get(word)
+        if weight is not None:
+            return weight
+        return next((self.stems[word[:n]] for n in self.stem_sizes if word[:n] in self.stems), None)
+
+    def trie(self, key: tuple, terms: list[str]) -> Node:
+        root = self.tries.get(key)
+        if root is None:
+            if len(self.tries) >= MEMO_TRIES:
+                self.tries.clear()
+            root = self.tries[key] = Node()
+            for term in terms:
+                node = root
+                for letter in term:
+                    node = node.children.setdefault(letter, Node())
+                node.word = self.words[term]
+        return root
 
     def near(self, word: str) -> float | None:
         """Largest weight of a term at one error from the word."""
-        # One error leaves one half of the term whole.
-        if not (
-            any(word[:n] in self.starts for n in self.start_sizes)
-            or any(word[-n:] in self.ends for n in self.end_sizes)
-        ):
-            return None
-        automaton = Levenshtein(word, 1)
-        best = None
-        walk = [(self.root, automaton.start(), 0)]
-        while walk:
-            node, states, depth = walk.pop()
-            if node.word is not None and depth >= FUZZY_CHARS and automaton.accepts(states):
-                best = max(node.word, best or node.word)
-            for letter, child in node.children.items():
-                following = automaton.step(states, letter)
-                if following:
-                    walk.append((child, following, depth + 1))
+        best = automaton = None
+        for size in range(max(FUZZY_CHARS, len(word) - 1), len(word) + 2):
+            rest = size - size // 2
+            for shards, key in ((self.starts, (word[: size // 2], size)), (self.ends, (word[-rest:], size))):
+                terms = shards.get(key)
+                if terms is None:
+                    continue
+                automaton = automaton or Levenshtein(word, 1)
+                walk = [(self.trie((shards is self.starts, *key), terms), automaton.start())]
+                while walk:
+                    node, states = walk.pop()
+                    if node.word is not None and automaton.accepts(states):
+                        best = max(node.word, best or node.word)
+                    for letter, child in node.children.items():
+                        following = automaton.step(states, letter)
+                        if following:
+                            walk.append((child, following))
         return best
 
     def look_up(self, word: str) -> tuple[float, bool] | None:
@@ -272,16 +277,16 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     stems: dict[str, float] = {}
     words: dict[str, float] = {}
     for row in sorted(rows, key=lambda r: (not r.stem, len(r.term))):
-        if any(row.term[:n] in stems for n in range(1, len(row.term) + (not row.stem))):
-            continue  # a shorter stem stands for it
         if row.stem:
+            if any(row.term[:n] in stems for n in range(1, len(row.term))):
+                continue  # a shorter stem stands for it
             # A stem of one word only is no stem.
             same = [r for r in rows if not r.stem and r.term.startswith(row.term)]
             if len(same) == 1 and same[0].toxic == row.toxic:
                 continue
             stems[row.term] = row.weight
         else:
-            words[row.term] = row.weight
+            words[row.term] = row.weight  # for misspellings also where a stem stands for it
     return Lexicon(words, stems)
 
 

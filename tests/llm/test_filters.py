@@ -121,6 +121,26 @@ def test_toxicity(spark):
     assert kept.columns == docs.columns
 
 
+def test_misspellings_of_terms_with_variants(spark):
+    rng = random.Random(6)
+    docs, labels = [], []
+    for i in range(600):
+        words = [f"w{rng.randrange(300)}" for _ in range(30)]
+        if i % 4 == 0:
+            words[rng.randrange(30)] = rng.choice(["idiot", "idiots", "idiott", f"{rng.choice('bcfghjkmnpqrtvxz')}diot", "moron"])
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    wrong = ["idkot", "diot", "iidiot", "odiot", "ldiots"]
+    docs += [(1000 + i, f"w1 w2 {word} w3 w4") for i, word in enumerate(wrong)] + [(2000, "w1 w2 w5 w3 w4")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any("idiot".startswith(stem) for stem in model.lexicon.stems)
+    for word in wrong:
+        assert model.lexicon.look_up(word) is not None, word
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).filter("doc_id >= 1000").collect()}
+    assert all(scores[1000 + i] > scores[2000] for i in range(len(wrong))), scores
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = toxic_tables(spark)
     flipped = labels.selectExpr(
