@@ -141,6 +141,18 @@ def test_misspellings_of_terms_with_variants(spark):
     assert all(scores[1000 + i] > scores[2000] for i in range(len(wrong))), scores
 
 
+def test_lexicon_has_the_long_tail(spark):
+    letters = "bcdfghjklmnpqrstvwxz"
+    common = [f"{a}{b}{c}uuuuuu" for a in letters for b in letters for c in letters[:2]]  # 800 terms in 8 documents each
+    rows = [(f"w{i % 97} {' '.join(common[(i + k) % 800] for k in range(4))}", 1) for i in range(1600)]
+    rows += [(f"w{i % 97} rareslur", 1) for i in range(8)]  # half a percent of toxic documents
+    rows += [(f"w{i % 97} w{i % 89}", 0) for i in range(16000)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert lexicon.look_up("rareslur") is not None and lexicon.look_up("rareslvr") is not None
+    assert all(lexicon.look_up(term) is not None for term in common)
+    assert all(lexicon.look_up(f"w{i}") is None for i in range(97))
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = toxic_tables(spark)
     flipped = labels.selectExpr(
