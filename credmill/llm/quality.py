@@ -11,9 +11,11 @@ distance counts only from a minimum number of characters or words on.
 Base rules: fewer than 50 words, or more than half of the words in 3-word windows
 that come again in the text.
 
-Only languages that a thousandth of all documents have get a reference, which bounds
-the references by a thousand languages.  A document of another or no language is
-compared with the nearest reference, and if there is none it is kept.
+Every language with ``REFERENCE_WORDS`` words in such documents gets a reference, however
+small its share of the corpus; a reference is two short histograms, so the driver and each
+task hold those of all languages.  A document whose language has none is held to the base
+rules only.  A document that names no language is compared with the nearest reference,
+and if there is none it is kept.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; NULL
 document ids and repeated rows are judged like others; an empty table gives an empty
@@ -37,7 +39,8 @@ from credmill.llm.shipping import ship
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 COMMON_WORDS = 64
-LANGUAGE_SHARE = 1000
+REFERENCE_WORDS = 2000
+HELD_WORDS = 1_000_000
 
 SYMBOLS = b"#*$%&|<>"
 # Fixed classes of characters; the bytes after the first of a character count nowhere.
@@ -163,6 +166,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         held: dict[str, list] = {}
+        n_held = 0
         for part in slices(batches):
             counts = Counts(raw_texts(part.column("text")))
             langs = np.array([lang or "" for lang in part.column("lang").to_pylist()], object)
@@ -173,10 +177,16 @@ def count_corpus(docs: DataFrame) -> DataFrame:
                 found = np.unique(hashes[chosen[doc_of]], return_counts=True)
                 yield batch(lang, "total", [0], [int(found[1].sum())])
                 held.setdefault(lang, []).append(found)
-                if sum(len(p[0]) for p in held[lang]) > 500_000:
-                    held[lang] = [merged(held[lang])]
-                    if len(held[lang][0][0]) > 250_000:
-                        yield batch(lang, "word", *held.pop(lang)[0])
+                n_held += len(found[0])
+            if n_held > HELD_WORDS:
+                held = {lang: [merged(parts)] for lang, parts in held.items()}
+                n_held = sum(len(parts[0][0]) for parts in held.values())
+                # The largest go on, so that what all languages hold stays bounded.
+                for lang in sorted(held, key=lambda name: -len(held[name][0][0])):
+                    if n_held <= HELD_WORDS // 2:
+                        break
+                    n_held -= len(held[lang][0][0])
+                    yield batch(lang, "word", *held.pop(lang)[0])
         for lang, parts in held.items():
             yield batch(lang, "word", *merged(parts))
 
@@ -189,25 +199,22 @@ def count_corpus(docs: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame, common_words: int = COMMON_WORDS) -> dict[str, Reference]:
-    """References of the languages that the corpus has enough of."""
-    in_all = docs.count()
-    frequent = [
-        row.lang
-        for row in docs.groupBy(F.col("lang").cast("string").alias("lang"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") * LANGUAGE_SHARE >= in_all) & (F.col("lang") != ""))
-        .collect()
-    ]
+    """References of all languages that have words enough for one."""
     first = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
+    total = F.max(F.when(F.col("kind") == "total", F.col("n"))).over(Window.partitionBy("lang"))
     rows = (
-        count_corpus(docs.filter(F.col("lang").cast("string").isin(frequent)))
+        count_corpus(docs)
         .withColumn("place", F.row_number().over(first))
         .filter(F.col("place") <= max(common_words, _SKIP))
+        .withColumn("total", total)
+        .filter(F.col("total") >= REFERENCE_WORDS)
         .collect()
     )
+    by_lang: dict[str, list] = {}
+    for row in rows:
+        by_lang.setdefault(row.lang, []).append(row)
     found: dict[str, Reference] = {}
-    for lang in sorted({row.lang for row in rows}):
-        own = [row for row in rows if row.lang == lang]
+    for lang, own in sorted(by_lang.items()):
         classes = np.zeros(_SKIP)
         for row in own:
             if row.kind == "class":
@@ -229,9 +236,10 @@ def distances(counts: Counts, langs: list[str | None], known: dict[str, Referenc
     hashes, doc_of = counts.plain_hashes().view(np.int64), counts.of.doc_of
     by_class, by_word = np.zeros(n), np.zeros(n)
     nearest = np.full(n, np.inf)
-    own = np.array([lang if lang in known else "" for lang in langs], object)
-    for lang, reference in known.items():
-        rows = np.flatnonzero((own == lang) | (own == ""))
+    named = np.array([lang or "" for lang in langs], object)
+    for lang in known if (named == "").any() else sorted(set(langs) & set(known)):
+        reference = known[lang]
+        rows = np.flatnonzero((named == lang) | (named == ""))
         if not len(rows):
             continue
         cell = np.searchsorted(reference.common, hashes)

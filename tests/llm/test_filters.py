@@ -54,6 +54,24 @@ def test_divergent_documents_go_and_clean_ones_stay(spark):
     assert kept == {*range(80), 103, 104}
 
 
+def test_rare_languages_have_their_own_reference_or_none(spark, monkeypatch):
+    monkeypatch.setattr(quality, "HELD_WORDS", 300)  # counts go on in parts
+    rng = random.Random(2)
+    text = lambda words, n, kinds=30: " ".join(f"{rng.choice(words)}{rng.randrange(kinds)}" for _ in range(n))
+    rows = [(i, text(["the", "of", "and"], 60, 8), "en") for i in range(2100)]
+    rows += [(3000, text(["это", "как", "для"], 80), "ru"), (3001, "это " * 80, "ru")]  # too few for a reference
+    rows += [(4000, text(["και", "του", "της"], 2500), "el"), (4001, text(["the", "of"], 80), "el")]
+    rows += [(5000, text(["это", "как", "для"], 80), None), (5001, text(["the", "of", "and"], 60, 8), "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = quality.references(docs)
+    assert set(known) == {"en", "el"}
+    counted = Counter(w for r in rows if r[2] == "en" for w in r[1].split())
+    top = sorted((n for n in counted.values()), reverse=True)[: quality.COMMON_WORDS]
+    assert np.allclose(sorted(known["en"].shares[:-1]), sorted(n / counted.total() for n in top))
+    kept = {r.doc_id for r in quality.keep_good(docs).collect()}
+    assert kept == {*range(2100), 3000, 4000, 5001}
+
+
 def test_quality_of_nothing(documents):
     empty = documents((1, "a")).filter("false")
     assert quality.judge(empty).count() == 0
