@@ -12,8 +12,8 @@ stage's input, so a lost executor repeats one stage at most.
 
 All stages but the last return the columns of ``documents``.  Rows without a document
 id are judged like others; the near-duplicate stage keeps them.  SQL can express none of
-the stages but the third and fourth, so ``ORACLE_SQL`` is None and the tests hold the run
-against a brute-force version.
+the stages but the third and fourth, so ``ORACLE_SQL`` is None.  The tests hold the run against
+its own stages one by one; only single operators are held against brute force.
 """
 
 from __future__ import annotations
