@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from credmill.llm import bpe, embeddings, minhash, packing, phrases, quality, suffixes, token_files, toxicity, urls
+from credmill.llm import (
+    bpe,
+    embeddings,
+    minhash,
+    packing,
+    phrases,
+    quality,
+    runs,
+    suffixes,
+    token_files,
+    toxicity,
+    turns,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +36,8 @@ def queries() -> dict[str, Query]:
         "op8_prefix_free_parsing": suffixes.query,
         "op9_token_files": token_files.query,
         "op10_byte_bpe": bpe.query,
+        "op11_integer_repair": turns.query,
+        "op12_automaton_runs": runs.query,
     }
 
 
