@@ -11,6 +11,7 @@ from credmill.llm import (
     embeddings,
     minhash,
     packing,
+    personal,
     phrases,
     quality,
     runs,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op10_byte_bpe": bpe.query,
         "op11_integer_repair": turns.query,
         "op12_automaton_runs": runs.query,
+        "op13_weak_supervision": personal.query,
     }
 
 
