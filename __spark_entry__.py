@@ -85,13 +85,10 @@ def _dti_mean(spark, sf_dir):
     return single_pass.dti_mean(_keyed(spark, sf_dir))
 
 
-def _average_emp_length(spark, sf_dir):
-    return single_pass.means(_keyed(spark, sf_dir)).select("avg_emp_length")
-
-
 def _customers(spark, sf_dir):
-    average = _average_emp_length(spark, sf_dir).scalar()
-    return clean.clean_borrower(_borrower(spark, sf_dir), average=average).drop("ingestion_date")
+    unique, means = single_pass.unique_and_means(_keyed(spark, sf_dir))
+    borrower = clean.split_borrower(unique)
+    return clean.clean_borrower(borrower, average=means["avg_emp_length"]).drop("ingestion_date")
 
 
 def _clean_loan(spark, sf_dir):
@@ -103,9 +100,13 @@ def _clean_payment(spark, sf_dir):
 
 
 def _clean_risk(spark, sf_dir):
-    return clean.clean_risk(
-        _risk(spark, sf_dir), mean=_dti_mean(spark, sf_dir), unique_keys=True
-    )
+    unique, means = single_pass.unique_and_means(_keyed(spark, sf_dir))
+    return clean.clean_risk(clean.split_risk(unique), mean=means["dti_mean"], unique_keys=True)
+
+
+def _filled_risk(spark, sf_dir):
+    unique, means = single_pass.unique_and_means(_keyed(spark, sf_dir))
+    return clean.fill_risk(clean.split_risk(unique), mean=means["dti_mean"])
 
 
 def _filled_dti(spark, sf_dir):
@@ -374,9 +375,7 @@ def queries() -> dict[str, Query]:
         "risk_ultra": lambda s, d: _rounded(
             clean.known_delinquency(_clean_risk(s, d)), "dti"
         ),
-        "fill_risk": lambda s, d: _rounded(
-            clean.fill_risk(_risk(s, d), mean=_dti_mean(s, d)), "dti"
-        ),
+        "fill_risk": lambda s, d: _rounded(_filled_risk(s, d), "dti"),
         "credit_line_date": lambda s, d: _clean_risk(s, d).select(KEY, "earliest_cr_line"),
         "distinct_risk": lambda s, d: stats.distinct_rows(_risk(s, d).drop(KEY)),
         "revol_util_pct": lambda s, d: _clean_risk(s, d).select(
@@ -384,11 +383,11 @@ def queries() -> dict[str, Query]:
         ),
         "drop_cols_risk": lambda s, d: _risk(s, d).drop(*schemas.RISK_DROPS),
         "known_delinquency": lambda s, d: _rounded(
-            clean.known_delinquency(clean.fill_risk(_risk(s, d), mean=_dti_mean(s, d))), "dti"
+            clean.known_delinquency(_filled_risk(s, d)), "dti"
         ),
         # statistics
         "avg_emp_length": lambda s, d: _rounded(
-            _average_emp_length(s, d), "avg_emp_length"
+            single_pass.means(_keyed(s, d)).select("avg_emp_length"), "avg_emp_length"
         ),
         "dti_mean_raw": lambda s, d: _rounded(stats.dti_mean(_dti(s, d)), "dti_mean"),
         "dti_mean": lambda s, d: _rounded(stats.dti_mean(_filled_dti(s, d)), "dti_mean"),

@@ -9,14 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credmill import schemas
+from credmill.operators import membership
 from credmill.schemas import KEY
 
-# Keys with at least so many copies, and with at least a millionth of all rows, are
-# dropped by a broadcast before any shuffle.  So there are never more than a million of
-# them, at any size: 64 characters each, a few hundred MB as a hash table at the very
-# most.  Every other key has under a millionth of the rows, or some 100 MB of wide rows.
+# Keys with at least so many copies are dropped beside the filter of duplicate keys.  There is one
+# for each word of the filter at most, 64 characters each, so some 60 MB whatever the number of keys.
 HOT_COPIES = 250_000
-MAX_HOT_KEYS = 1_000_000
 
 
 def key_columns(df: DataFrame) -> DataFrame:
@@ -62,26 +60,54 @@ def most_copied_key(keyed: DataFrame) -> DataFrame:
     )
 
 
+def _copied(per_key: DataFrame) -> DataFrame:
+    """Keys with several rows, from all columns of ``per_key``.
+
+    Where one use of an aggregate leaves out columns that another one needs, Spark shuffles for
+    each of them.  The same number on both sides of the comparison names the columns.
+    """
+    others = [f"`{name}`" for name in per_key.columns if name not in (KEY, "member_count")]
+    if not others:
+        return per_key.where("member_count > 1")
+    same = f"cast(hash({', '.join(others)}) AS bigint)"
+    return per_key.where(f"member_count + {same} > 1 + {same}")
+
+
 def exclude_duplicates(
-    keyed: DataFrame, hot_copies: int = HOT_COPIES, *, partitions: int | None = None
+    keyed: DataFrame,
+    hot_copies: int = HOT_COPIES,
+    *,
+    partitions: int | None = None,
+    per_key: DataFrame | None = None,
+    words: int = membership.WORDS,
 ) -> DataFrame:
-    """Drop every row whose key occurs more than once, as anti joins.
+    """Drop every row whose key occurs more than once.
+
+    A bounded Bloom filter of the duplicate keys is broadcast.  Rows that miss it are unique
+    and pass on in place: no shuffle, no sort.  The others, duplicates and few more, take an
+    anti join without a hint, so Spark broadcasts the duplicate keys only when their estimated
+    size allows it.  This reads the wide rows twice and shuffles hardly any of them.
+
+    Each word of the filter also names its hottest key, if that has ``hot_copies``.  Rows of
+    that key are dropped beside the filter, before any shuffle.
+
+    With ``partitions`` the wide rows have to be laid out in so many partitions by key in any case.
+    Then all but the hot ones take the anti join, which uses that layout.
 
-    Rows of the hottest keys never reach a shuffle.  The other duplicate keys
-    go through a join without a hint, so Spark broadcasts them only when their
-    estimated size allows it.  Both joins and the number of all rows read one and the
-    same count.  With ``partitions`` the wide rows are laid out in so many partitions
-    by key, which the second join then uses.
+    ``per_key`` is ``rows_per_key`` of the same keys, for callers that need its numbers too;
+    filter and join then share its shuffle.
     """
-    counts = key_counts(keyed)
-    total = counts.selectExpr("sum(member_count) AS total").scalar()
-    bound = F.greatest(F.lit(hot_copies), F.ceil(total / MAX_HOT_KEYS))
-    hot = counts.where("member_count > 1").where(F.col("member_count") >= bound).select(KEY)
-    other = counts.where("member_count > 1").where(F.col("member_count") < bound).select(KEY)
-    rows = keyed.join(F.broadcast(hot), KEY, "left_anti")
+    copied = _copied(key_counts(keyed) if per_key is None else per_key)
+    hottest = f"max_by({KEY}, member_count) FILTER (WHERE member_count >= {int(hot_copies)})"
+    table = membership.condensed(copied, KEY, words, also={"_hottest": hottest})
+    marked = membership.marked(keyed, table, KEY, "_suspect", words)
+    not_hot = f"_hottest IS NULL OR _hottest != {KEY}"
     if partitions:
-        rows = rows.repartition(partitions, KEY)
-    return rows.join(other, KEY, "left_anti")
+        rows = marked.where(not_hot).drop("_suspect", "_hottest").repartition(partitions, KEY)
+        return rows.join(copied, KEY, "left_anti")
+    clear = marked.where("NOT _suspect").drop("_suspect", "_hottest")
+    suspects = marked.where("_suspect").where(not_hot).drop("_suspect", "_hottest")
+    return clear.unionByName(suspects.join(copied, KEY, "left_anti"))
 
 
 def rows_per_key(keyed: DataFrame) -> DataFrame:

@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 
 from credmill.functions.text import digits
 
-# Equal parts of a range in each round of ``lower_median``, and rounds.
-_BINS = 65536
-_ROUNDS = 3
-
-
 def emp_years() -> str:
     return f"try_cast({digits('emp_length')} AS double)"
 
@@ -41,58 +36,53 @@ def dti_spread(risk: DataFrame) -> DataFrame:
 def lower_median(df: DataFrame, column: str, name: str) -> DataFrame:
     """The exact lower median: an element of the data, NULL if there is none.
 
-    Equal values are counted first, so a hot value is one row.  The middle rank is then
-    closed in on: first its sign and power of two, then three times one of ``_BINS`` equal
-    parts of the range that is left.  Each round counts by bin in partial aggregates and
-    ranks the bins, at most ``_BINS`` rows, in a window.  A double has 52 bits behind its
-    power of two and three rounds take 16 each, so the last ranking sees a handful
-    of neighbouring values.  All rounds read one and the same count.
-    NULL and NaN do not count.
+    Equal values are counted first, so a hot value is one row.  The counts are laid out by ranges
+    of values; how many each range holds tells which one has the middle rank, and only the values
+    of that range are ranked.  So no task ranks more rows than a sort would give it, and any
+    choice of ranges finds the same value.  NULL and NaN do not count.
     """
     counted = (
         df.selectExpr(f"`{column}` AS grouped")
         .where("grouped IS NOT NULL AND NOT isnan(cast(grouped AS double))")
         .groupBy("grouped")
-        # The range filters below are on an aggregate: they stay above the shuffle, which
-        # all rounds so share.
+        # The filter on a range below is on an aggregate: it stays above the shuffle, which
+        # both uses of the counts so share.
         .agg(F.expr("max(grouped) AS value"), F.expr("count(1) AS copies"))
         .select("value", "copies")
     )
-    power = "least(floor(log2(abs(cast(value AS double)))), 1100) + 1200"
-    found = _middle_bin(counted, f"if(value = 0, 0, signum(value) * ({power}))", None)
-    share = "(cast(value AS double) - found.low) / (cast(found.high AS double) - found.low)"
-    for _ in range(_ROUNDS):
-        part = f"if(found.high > found.low, least(floor({share} * {_BINS}), {_BINS - 1}), 0)"
-        found = _middle_bin(_within(counted, found), part, "found")
-    ranked = _within(counted, found).selectExpr(
+    ranked = _within(counted, _middle_range(counted)).selectExpr(
         "value", "found.middle", "found.before + sum(copies) OVER (ORDER BY value) AS up_to"
     )
     return ranked.where("up_to >= middle").selectExpr(f"min(value) AS `{name}`")
 
 
-def _within(counted: DataFrame, found: DataFrame) -> DataFrame:
-    """The values of the bin found last, with what is known of it."""
-    bin_found = found.selectExpr("struct(*) AS found").scalar()
-    return counted.withColumn("found", bin_found).where("value BETWEEN found.low AND found.high")
-
-
-def _middle_bin(counted: DataFrame, part: str, known: str | None) -> DataFrame:
-    """One row: bounds of the bin with the middle rank, the values before it, the rank."""
-    kept = ["max(found.before) AS earlier", "max(found.middle) AS middle"] if known else []
-    bins = counted.withColumn("part", F.expr(part)).groupBy("part").agg(
-        F.expr("sum(copies) AS in_bin"), F.expr("min(value) AS low"), F.expr("max(value) AS high"),
-        *map(F.expr, kept),
-    )
-    middle = "middle" if known else "ceil(sum(in_bin) OVER () / 2) AS middle"
-    earlier = "earlier" if known else "0"
-    ranked = bins.selectExpr(
-        "low", "high", "in_bin", f"{earlier} + sum(in_bin) OVER (ORDER BY part) AS up_to", middle
+def _middle_range(counted: DataFrame) -> DataFrame:
+    """One row: bounds of the range with the middle rank, the number of values before it, the rank."""
+    ranges = (
+        counted.repartitionByRange("value")
+        .withColumn("part", F.spark_partition_id())
+        .groupBy("part")
+        .agg(F.expr("sum(copies) AS held"), F.expr("min(value) AS low"), F.expr("max(value) AS high"))
     )
-    return ranked.where("up_to - in_bin < middle AND middle <= up_to").selectExpr(
-        "low", "high", "up_to - in_bin AS before", "middle"
+    ranked = ranges.selectExpr(
+        "low", "high", "held", "sum(held) OVER (ORDER BY low) AS up_to",
+        "ceil(sum(held) OVER () / 2) AS middle",
+    )
+    return ranked.where("up_to - held < middle AND middle <= up_to").selectExpr(
+        "low", "high", "up_to - held AS before", "middle"
     )
 
 
+def _within(counted: DataFrame, found: DataFrame) -> DataFrame:
+    """The values of the range found, with what is known of it.
+
+    A join with the one row that was found: as a scalar subquery it would be copied into every
+    place that names it.
+    """
+    one_row = F.broadcast(found.selectExpr("struct(*) AS found"))
+    return counted.join(one_row, F.expr("value BETWEEN found.low AND found.high"))
+
+
 def median_income(df: DataFrame) -> DataFrame:
     return lower_median(df, "annual_inc", "median_annual_inc")
 

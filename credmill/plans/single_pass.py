@@ -25,17 +25,35 @@ def dti_mean(keyed: DataFrame) -> Column:
     return stats.dti_mean(keys.unique_values(keyed.select(KEY, "dti"))).scalar()
 
 
+def numbers_per_key(keyed: DataFrame) -> DataFrame:
+    """The aggregate that finds the duplicates, with the numbers that both means are taken of."""
+    return keys.rows_per_key(
+        keyed.selectExpr(KEY, "dti", "annual_inc", f"{stats.emp_years()} AS years")
+    )
+
+
+def means_of(per_key: DataFrame) -> DataFrame:
+    """One row with both means, of what ``numbers_per_key`` found."""
+    return per_key.where("member_count = 1").selectExpr(
+        "avg(dti) AS dti_mean",
+        f"avg(if({clean.HAS_INCOME}, years, NULL)) AS avg_emp_length",
+    )
+
+
 def means(keyed: DataFrame) -> DataFrame:
     """One row with both means that cleaning fills in, from one pass.
 
     ``dti_mean`` is taken over all unambiguous rows, ``avg_emp_length`` over
     those with income.
     """
-    numbers = keyed.selectExpr(KEY, "dti", "annual_inc", f"{stats.emp_years()} AS years")
-    return keys.unique_values(numbers).selectExpr(
-        "avg(dti) AS dti_mean",
-        f"avg(if({clean.HAS_INCOME}, years, NULL)) AS avg_emp_length",
-    )
+    return means_of(numbers_per_key(keyed))
+
+
+def unique_and_means(keyed: DataFrame) -> tuple[DataFrame, Column]:
+    """The unambiguous rows, and a struct of both means; one aggregate per key serves both."""
+    per_key = numbers_per_key(keyed)
+    unique = keys.exclude_duplicates(keyed, per_key=per_key)
+    return unique, means_of(per_key).selectExpr("struct(*) AS means").scalar()
 
 
 def crunched(keyed: DataFrame, *, as_of: datetime | None = None) -> DataFrame:
@@ -44,8 +62,7 @@ def crunched(keyed: DataFrame, *, as_of: datetime | None = None) -> DataFrame:
     A member without income has no customer row, so the customer columns of
     such a member are NULL.
     """
-    unique = keys.exclude_duplicates(keyed)
-    filled_in = means(keyed).selectExpr("struct(*) AS means").scalar()
+    unique, filled_in = unique_and_means(keyed)
     # Row values come from before the projection: annual_inc is the raw income.
     customer = {name: name for name in schemas.BORROWER_COLUMNS}
     customer.update(clean.borrower_values(as_of))

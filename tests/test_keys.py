@@ -6,7 +6,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from credmill.operators import keys
+from credmill.operators import keys, membership
 from credmill.schemas import KEY
 from tests.plans import count
 
@@ -51,14 +51,16 @@ def test_no_copy_of_a_duplicate_survives(spark, loans):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.integers(0, 12), min_size=1, max_size=60), st.integers(2, 4))
-def test_both_ways_of_deduplication_agree(spark, members, hot_copies):
+@given(
+    st.lists(st.integers(0, 12), min_size=1, max_size=60), st.integers(2, 4), st.sampled_from([1, 4, 1 << 19])
+)
+def test_both_ways_of_deduplication_agree(spark, members, hot_copies, words):
     keyed = spark.createDataFrame(
         [(f"k{m}", i) for i, m in enumerate(members)], f"{KEY} string, value int"
     )
     copies = Counter(members)
     expected = sorted(i for i, m in enumerate(members) if copies[m] == 1)
-    joined = keys.exclude_duplicates(keyed, hot_copies)
+    joined = keys.exclude_duplicates(keyed, hot_copies, words=words)
     collapsed = keys.unique_values(keyed)
     assert sorted(r.value for r in joined.collect()) == expected
     assert sorted(r.value for r in collapsed.collect()) == expected
@@ -79,3 +81,15 @@ def test_numbers_deduplicate_in_one_hash_aggregate(spark, loans):
     assert count(plan, "HashAggregate") == 2
     assert count(plan, "Exchange") == 1
     assert count(plan, "SortAggregate") == count(plan, "Sort") == 0
+
+
+def test_the_filter_finds_every_key_and_few_others(spark):
+    rows = spark.range(200_000).selectExpr(f"cast(id AS string) AS {KEY}", "id")
+    held = rows.where("id < 1000")
+    table = membership.condensed(held, KEY, 1 << 12)
+    assert table.count() <= 1 << 12
+    marked = membership.marked(rows, table, KEY, "found", 1 << 12)
+    assert marked.where("found AND id < 1000").count() == 1000
+    assert marked.where("found AND id >= 1000").count() < 200
+    nothing = membership.condensed(rows.where("id < 0"), KEY)
+    assert membership.marked(rows, nothing, KEY, "found").where("found").count() == 0

@@ -210,17 +210,66 @@ def test_four_table_join_shuffles_each_side_once_at_most(spark, keyed):
 
 
 def test_hot_keys_are_dropped_before_the_shuffle(spark):
-    """The broadcast anti join sits below the exchange of the wide rows."""
+    """The broadcast of hot keys sits below the exchange of the wide rows."""
     keyed = spark.range(100).selectExpr(f"cast(id AS string) AS {KEY}", "id AS payload")
     with settings(spark, **NO_BROADCAST):
-        text = explain(keys.exclude_duplicates(keyed))
+        text = explain(keys.exclude_duplicates(keyed, partitions=4))
     tree = text[: text.index("\n\n\n")]
     order = [
         word
         for word in re.findall(r"SortMergeJoin|BroadcastHashJoin|BroadcastExchange|Exchange", tree)
     ]
     assert order[:3] == ["SortMergeJoin", "Exchange", "BroadcastHashJoin"]
-    assert text.count("ReusedExchange") >= 1  # one count serves both joins
+    assert text.count("ReusedExchange") >= 1  # one count serves filter and join
+
+
+def test_unique_rows_pass_the_filter_in_place(spark):
+    """Rows that miss the filter are never shuffled; only keys and suspects are."""
+    keyed = spark.range(6000).selectExpr(
+        f"coalesce(cast(if(id < 300, id % 100, id) AS string), '') AS {KEY}", "repeat('x', 100) AS payload"
+    )
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        kept = keys.exclude_duplicates(keyed)
+        assert kept.count() == 5700
+        assert shuffled(spark, keys.exclude_duplicates(keyed))[-2:] == [300, 5800]
+        everything = keys.exclude_duplicates(keyed, words=1)
+        assert shuffled(spark, everything)[-2:] == [5800, 6000]
+        assert everything.count() == 5700
+
+
+def shuffled(spark, df):
+    """Records that each exchange of a query wrote, ascending."""
+    df.write.format("noop").mode("overwrite").save()
+    store = spark._jsparkSession.sharedState().statusStore()
+    execution = store.executionsList().last().executionId()
+    values, nodes = store.executionMetrics(execution), store.planGraph(execution).allNodes()
+    found = []
+    for i in range(nodes.size()):
+        node = nodes.apply(i)
+        metrics = node.metrics()
+        for j in range(metrics.size()):
+            metric = metrics.apply(j)
+            if node.name() == "Exchange" and metric.name() == "shuffle records written":
+                if values.contains(metric.accumulatorId()):
+                    found.append(int(values.apply(metric.accumulatorId()).replace(",", "")))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_one_aggregate_per_key_serves_rows_and_means(spark, keyed, adaptive):
+    """Keys, filter, join and both means read one shuffle; the wide rows are read twice."""
+    with settings(spark, spark__sql__adaptive__enabled=adaptive):
+        df = single_pass.crunched(keyed)
+        df.collect()
+        text = explain(df)
+    final = text[: text.index("== Initial Plan")] if "== Initial Plan" in text else text
+    scans = re.findall(r"^\(\d+\) Scan parquet", text, re.M)
+    schemas_read = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    narrow = {line for line in schemas_read if line.count(":") < 15}
+    wide = {line for line in schemas_read if line.count(":") >= 15}
+    assert len(narrow) == 1 and len(wide) >= 1
+    assert len(scans) <= 6
+    assert "ReusedExchange" in final
 
 
 # --- the whole job ------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""The rounds of the exact median, the bound of hot keys, and the layout of the job."""
+"""The ranges of the exact median, the bound of hot keys, and the layout of the job."""
 
 from __future__ import annotations
 
@@ -53,16 +53,37 @@ def test_lower_median_of_random_doubles(spark, scale):
     assert median(spark, values) == lower(values)
 
 
-def test_no_round_ranks_more_rows_than_bins(spark):
-    df = spark.range(300_000).select((F.rand(3) * 1e-7).alias("x"))
-    counted = df.groupBy("x").agg(F.count("*").alias("copies")).withColumnRenamed("x", "value")
-    found = stats._middle_bin(counted, "signum(value) * (floor(log2(abs(value))) + 1200)", None)
-    left = stats._within(counted, found).count()
-    assert left > 70_000  # one power of two holds too much for one task
-    share = "(value - found.low) / (found.high - found.low)"
-    part = f"least(floor({share} * {stats._BINS}), {stats._BINS - 1})"
-    second = stats._middle_bin(stats._within(counted, found), part, "found")
-    assert stats._within(counted, second).count() < 100
+def test_only_one_range_is_ranked(spark):
+    names = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        df = spark.range(300_000).select((F.rand(3) * 1e-7).alias("value"), F.lit(1).alias("copies"))
+        found = stats._middle_range(df).first()
+        assert found.before < 150_000 == found.middle
+        assert stats._within(df, stats._middle_range(df)).count() < 20_000
+        values = sorted(row.value for row in df.collect())
+        assert stats.lower_median(df, "value", "m").first().m == values[149_999]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_plan_of_the_median_is_short(spark, sf_dir, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        plain = stats.lower_median(spark.range(50).selectExpr("cast(id AS double) AS x"), "x", "m")
+        assert plans.count(plain, "Exchange") <= 10
+        eligible = single_pass.score_members(keys.with_member_key(loan_view(spark, sf_dir)))
+        median = stats.median_income(eligible)
+        assert plans.count(median, "Exchange") < 25
+        assert len(plans.explain(median)) < 60_000
+        assert median.first()[0] is not None
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def keyed_rows(spark, hot, single):
