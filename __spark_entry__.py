@@ -244,6 +244,74 @@ def _csv_inferred(spark, sf_dir):
     )
 
 
+def _ingest(spark, sf_dir) -> Job:
+    """A job that took in a CSV file in which some loan amounts are no numbers."""
+    path = shared_dir(spark, "csv")
+    broken = "if(cast(loan_amnt AS bigint) % 40 = 7, 'lots', cast(loan_amnt AS string))"
+    lines = _loans(spark, sf_dir).withColumn("loan_amnt", F.expr(broken))
+    writers.write_csv(lines, path, nullValue="NULL")
+    job = _job(spark)
+    job.ingest(path, max_bad_share=0.05, nullValue="NULL")
+    return job
+
+
+def _ingested_loans(spark, sf_dir):
+    return _ingest(spark, sf_dir).ingested()
+
+
+def _quarantined_lines(spark, sf_dir):
+    """The lines are whole: fields behind the broken one can still be read from them."""
+    fields = F.from_csv(
+        "rejected_line",
+        ", ".join(f"`{name}` string" for name in _loans(spark, sf_dir).columns),
+        {"nullValue": "NULL"},
+    )
+    lines = _ingest(spark, sf_dir).quarantined().select(fields.alias("line"))
+    return lines.selectExpr(
+        "count(1) AS lines",
+        "sum(cast(cast(line.total_pymnt AS double) AS bigint)) AS total_paid",
+        "count(DISTINCT line.purpose) AS purposes",
+    )
+
+
+def _observed_checks(spark, sf_dir):
+    """What was observed while the job wrote its tables; nothing is read again."""
+    job = _job(spark)
+    job.stage(_loans(spark, sf_dir))
+    job.land()
+    job.crunch()
+    found = {
+        f"{check}.{name}": value
+        for check, values in job.check_values().items()
+        for name, value in values.items()
+    }
+    pairs = ", ".join(f"('{name}', cast({value!r} AS double))" for name, value in found.items())
+    return spark.sql(f"SELECT name, round(value, 4) AS value FROM VALUES {pairs} AS t(name, value)")
+
+
+def _stored_member_lookup(spark, sf_dir):
+    job = _job(spark)
+    job.stage(_loans(spark, sf_dir))
+    smallest = job.table("loan_details").selectExpr(f"min({KEY})").first()[0]
+    return job.member("loan_details", smallest)
+
+
+def _replaced_table(spark, sf_dir):
+    """The rows of the second version, which is computed from the first."""
+    name = f"replaced_{uuid.uuid4().hex}"
+    path = shared_dir(spark, name)
+    writers.write_table(_keyed(spark, sf_dir), name, path)
+    unique = keys.exclude_duplicates(readers.read_table(spark, name))
+    writers.write_table(clean.split_borrower(unique), name, path)
+    return readers.read_table(spark, name)
+
+
+def _rebalanced_files(spark, sf_dir):
+    path = shared_dir(spark, "rebalanced")
+    writers.write_parquet(_risk(spark, sf_dir), path, rebalance=(), find_by=KEY)
+    return readers.read_parquet(spark, path)
+
+
 # --- the other queries that take more than one call ------------------------------------
 
 
@@ -386,18 +454,14 @@ def queries() -> dict[str, Query]:
             clean.known_delinquency(_filled_risk(s, d)), "dti"
         ),
         # statistics
-        "avg_emp_length": lambda s, d: _rounded(
-            single_pass.means(_keyed(s, d)).select("avg_emp_length"), "avg_emp_length"
-        ),
-        "dti_mean_raw": lambda s, d: _rounded(stats.dti_mean(_dti(s, d)), "dti_mean"),
+        "avg_emp_length": lambda s, d: single_pass.means(_keyed(s, d)).select("avg_emp_length"),
+        "dti_mean_raw": lambda s, d: stats.dti_mean(_dti(s, d)),
         "dti_mean": lambda s, d: _rounded(stats.dti_mean(_filled_dti(s, d)), "dti_mean"),
         "dti_stddev": lambda s, d: _rounded(stats.dti_stddev(_filled_dti(s, d)), "dti_stddev"),
         "dti_spread": lambda s, d: _rounded(
             stats.dti_spread(_filled_dti(s, d)), "dti_mean", "dti_stddev"
         ),
-        "fill_means": lambda s, d: _rounded(
-            single_pass.means(_keyed(s, d)), "dti_mean", "avg_emp_length"
-        ),
+        "fill_means": lambda s, d: single_pass.means(_keyed(s, d)),
         "median_income": lambda s, d: stats.median_income(_eligible(s, d)),
         "median_income_customers": lambda s, d: stats.median_income(
             clean.positive_income(
@@ -433,6 +497,12 @@ def queries() -> dict[str, Query]:
         "stored_crunched": _stored(schemas.CRUNCHED_TABLE, "land", "crunch"),
         "stored_report": _stored_report,
         "csv_inferred": _csv_inferred,
+        "ingested_loans": _ingested_loans,
+        "quarantined_lines": _quarantined_lines,
+        "observed_checks": _observed_checks,
+        "stored_member_lookup": _stored_member_lookup,
+        "replaced_table": _replaced_table,
+        "rebalanced_files": _rebalanced_files,
         # join and filters
         "crunched": _joined,
         "crunched_projection": _complete_report,

@@ -9,28 +9,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from credmill.functions.columns import aliased
 from credmill.functions.text import digits
 
 def emp_years() -> str:
     return f"try_cast({digits('emp_length')} AS double)"
 
 
+# Digits before and behind the point of the numbers that are summed exactly.
+_EXACT = "DECIMAL(38, 15)"
+
+
+def exact_mean(value: str) -> str:
+    """SQL of a mean that does not depend on the order of the rows.
+
+    Sums of doubles differ in their last bits with the order of summation, so with the number of
+    partitions.  Here each value becomes a decimal with 15 digits behind the point and the
+    decimals are summed without any rounding.  Where a value does not fit (NaN, infinity, 1e23 or
+    more), or the sum does not, it is the plain mean.
+    """
+    exact = f"try_cast({value} AS {_EXACT})"
+    mean = f"cast(try_sum({exact}) AS double) / count({value})"
+    return f"coalesce(if(count({exact}) = count({value}), {mean}, NULL), avg({value}))"
+
+
 def average_emp_length(customers: DataFrame) -> DataFrame:
     """Mean number of years over the lengths that hold digits."""
-    return customers.selectExpr(f"avg({emp_years()}) AS avg_emp_length")
+    return customers.selectExpr(f"{exact_mean(emp_years())} AS avg_emp_length")
 
 
 def dti_mean(risk: DataFrame) -> DataFrame:
-    return risk.selectExpr("avg(dti) AS dti_mean")
+    return risk.selectExpr(f"{exact_mean('dti')} AS dti_mean")
 
 
 def dti_stddev(risk: DataFrame) -> DataFrame:
     return risk.selectExpr("stddev_samp(dti) AS dti_stddev")
 
 
+DTI_SPREAD = {"dti_mean": exact_mean("dti"), "dti_stddev": "stddev_samp(dti)"}
+
+
 def dti_spread(risk: DataFrame) -> DataFrame:
     """Mean and deviation next to each other, from one pass."""
-    return risk.selectExpr("avg(dti) AS dti_mean", "stddev_samp(dti) AS dti_stddev")
+    return risk.selectExpr(*aliased(DTI_SPREAD))
 
 
 def lower_median(df: DataFrame, column: str, name: str) -> DataFrame:

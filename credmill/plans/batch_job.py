@@ -4,6 +4,10 @@ The duplicates cost the one wide shuffle of the job.  Its result is written
 once, bucketed on the key, and every later table is bucketed the same way, so
 the cleaning and the four-way join read and write in place.  Each written table
 also cuts the lineage: a lost executor costs a stage, not the job.
+
+The checks are observed while the tables are written, in the task that writes a row, which counts
+once however often an earlier stage is repeated.  A CSV file is parsed once: its rows are stored, those
+that do not parse in a partition of their own.
 """
 
 from __future__ import annotations
@@ -12,16 +16,49 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from credmill import schemas
+from credmill.functions.columns import aliased
 from credmill.operators import clean, join, keys, quality, score, stats
 from credmill.schemas import KEY
-from credmill.sources import writers
+from credmill.sources import readers, versions, writers
 
 DEDUPED_TABLE = "deduplicated_loans"
 BUCKET_BYTES = 256 << 20
 
+# What is observed of the rows of a table while they are written: check, its aggregates by name.
+_ROWS = {"row_count": "count(1)"}
+CHECKS: dict[str, dict[str, dict[str, str]]] = {
+    DEDUPED_TABLE: {"deduplicated": _ROWS},
+    schemas.CUSTOMERS_TABLE: {
+        "zip_anomaly": quality.ZIP_ANOMALY,
+        "state_anomaly": quality.STATE_ANOMALY,
+    },
+    schemas.PAYMENTS_TABLE: {
+        "payment_identity": quality.payment_identity_check(),
+        "investor_gap": quality.investor_gap_check(),
+        "principal_interest_share": quality.PRINCIPAL_INTEREST_SHARE,
+    },
+    schemas.RISK_TABLE: {"dti_spread": stats.DTI_SPREAD},
+    schemas.CRUNCHED_TABLE: {"joined": _ROWS},
+}
+
+
+LAYERS = {
+    "staging": (schemas.INGESTED_TABLE, DEDUPED_TABLE, *schemas.SPLITS),
+    "landing": (
+        schemas.CUSTOMERS_TABLE, schemas.LOANS_TABLE, schemas.PAYMENTS_TABLE,
+        schemas.RISK_TABLE, schemas.ULTRA_RISK_TABLE, schemas.CRUNCHED_TABLE,
+    ),
+    "reporting": (schemas.REPORT_TABLE,),
+}
+
+
+class TooManyBadLines(ValueError):
+    """A file holds more lines that do not parse than the job accepts."""
+
 
 def buckets_for(input_bytes: int) -> int:
     """Buckets of some 256 MB for an input of that size."""
@@ -40,6 +77,8 @@ class Job:
                  that a bucket of wide rows has 128 to 512 MB (``buckets_for``).
                  Formats other than Parquet and ORC are written unbucketed.
     ``as_of``    ingestion time; None means the time of the run
+    ``statistics``  whether stored tables are analyzed, so that later joins know their row counts
+    ``observed``  values of the checks on the tables that this job wrote, by table and check
     """
 
     spark: SparkSession
@@ -50,6 +89,8 @@ class Job:
     as_of: datetime | None = None
     max_records_per_file: int | None = None
     names: dict[str, str] = field(default_factory=dict)
+    statistics: bool = True
+    observed: dict[str, dict[str, dict]] = field(default_factory=dict, compare=False)
 
     # -- naming --
 
@@ -70,15 +111,28 @@ class Job:
 
     def _save(self, df: DataFrame, layer: str, table: str, fmt: str) -> None:
         bucketed = fmt in ("parquet", "orc")
+        # Spark drops this exchange where the rows are laid out so already.
+        rows = df.repartition(self.buckets, KEY) if bucketed else df
+        observation, checks = Observation(), CHECKS.get(table, {})
+        if checks:
+            named = {f"{check}.{n}": sql for check, values in checks.items() for n, sql in values.items()}
+            # Last before the write: a task of the final stage is never repeated once it is done.
+            rows = rows.observe(observation, *map(F.expr, aliased(named)))
         writers.write_table(
-            # Spark drops this exchange where the rows are laid out so already.
-            df.repartition(self.buckets, KEY) if bucketed else df,
+            rows,
             self.name(table),
             self.path(layer, table),
             fmt=fmt,
             buckets=self.buckets if bucketed else None,
             max_records_per_file=self.max_records_per_file,
         )
+        if checks:
+            found = observation.get
+            self.observed[table] = {
+                check: {name: found[f"{check}.{name}"] for name in values} for check, values in checks.items()
+            }
+        if self.statistics:
+            self.spark.sql(f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS")
 
     def _save_all(self, frames: dict[str, DataFrame], layer: str, fmt: str) -> None:
         """Write tables that do not need each other at the same time, so that the
@@ -90,6 +144,57 @@ class Job:
             for write in writes:
                 write.result()
 
+    def ingest(self, path: str, *, max_bad_share: float = 0.01, **options) -> DataFrame:
+        """Parse a CSV file once and store its rows; return those that parse.
+
+        Lines with a field that does not parse, or with too few or too many fields, go into a
+        partition of their own in the same pass, whole and with the path of their file.  Their number
+        is observed.  Beyond ``max_bad_share`` of all lines the job refuses the file; the
+        stored lines remain for a look at them.
+        """
+        rows = readers.read_loans_csv(
+            self.spark, path, on_error="keep", corrupt_column=schemas.LINE_COLUMN,
+            source_column=schemas.SOURCE_COLUMN, **options,
+        )
+        bad = f"{schemas.LINE_COLUMN} IS NOT NULL"
+        marked = rows.withColumn(schemas.QUARANTINE_COLUMN, F.expr(bad))
+        observation = Observation()
+        counts = {"lines": "count(1)", "bad_lines": f"count_if({bad})"}
+        writers.write_partitioned(
+            marked.observe(observation, *map(F.expr, aliased(counts))),
+            self.name(schemas.INGESTED_TABLE),
+            self.path("staging", schemas.INGESTED_TABLE),
+            schemas.QUARANTINE_COLUMN,
+            max_records_per_file=self.max_records_per_file,
+        )
+        found = observation.get
+        self.observed[schemas.INGESTED_TABLE] = {"ingested": found}
+        if found["bad_lines"] > max_bad_share * found["lines"]:
+            raise TooManyBadLines(
+                f"{found['bad_lines']} of {found['lines']} lines of {path} do not parse; "
+                f"see {self.name(schemas.INGESTED_TABLE)}"
+            )
+        return self.ingested()
+
+    def _ingested(self, quarantined: bool) -> DataFrame:
+        return self.table(schemas.INGESTED_TABLE).where(F.col(schemas.QUARANTINE_COLUMN) == quarantined)
+
+    def ingested(self) -> DataFrame:
+        """The stored rows that parse, without the columns on lines."""
+        extra = (schemas.QUARANTINE_COLUMN, schemas.LINE_COLUMN, schemas.SOURCE_COLUMN)
+        return self._ingested(False).drop(*extra)
+
+    def quarantined(self) -> DataFrame:
+        """The lines that do not parse and the files that hold them."""
+        return self._ingested(True).select(schemas.SOURCE_COLUMN, schemas.LINE_COLUMN)
+
+    def analyze(self, *tables: str, columns: tuple[str, ...] = (KEY,)) -> None:
+        """Gather statistics of columns too, which lets the optimizer order joins by their size."""
+        for table in tables:
+            self.spark.sql(
+                f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}"
+            )
+
     def deduplicate(self, loans: DataFrame) -> DataFrame:
         """Write the loans with unambiguous keys; the one shuffle of wide rows."""
         keyed = keys.with_member_key(loans)
@@ -156,15 +261,29 @@ class Job:
     def grade(self, grade: str) -> DataFrame:
         return self.table(schemas.GRADE_VIEW.format(grade=grade))
 
+    def member(self, table: str, key: str) -> DataFrame:
+        """The rows of one member in a stored table; of a bucketed one a single bucket is read."""
+        return readers.read_member(self.spark, self.name(table), key)
+
     def checks(self) -> dict[str, DataFrame]:
         """The checks the job reports, over the landed tables."""
-        customers = self.table(schemas.CUSTOMERS_TABLE)
-        risk = self.table(schemas.RISK_TABLE)
-        return {
-            "zip_anomaly": quality.zip_anomaly(customers),
-            "state_anomaly": quality.state_anomaly(customers),
-            "dti_spread": stats.dti_spread(risk),
-            "deduplicated": stats.row_count(self.table(DEDUPED_TABLE)),
-            "joined": stats.row_count(self.table(schemas.CRUNCHED_TABLE)),
-            "grades": score.grade_counts(self.table(schemas.REPORT_TABLE)),
+        found = {
+            check: self.table(table).selectExpr(*aliased(values))
+            for table, checks in CHECKS.items()
+            for check, values in checks.items()
         }
+        return found | {"grades": score.grade_counts(self.table(schemas.REPORT_TABLE))}
+
+    def check_values(self) -> dict[str, dict]:
+        """Values of the checks by name, as they were observed in the writes: no further job."""
+        return {check: values for found in self.observed.values() for check, values in found.items()}
+
+    # -- cleaning up --
+
+    def drop(self) -> None:
+        """Drop all views, tables and files of the job."""
+        for grade in schemas.GRADES:
+            self.spark.sql(f"DROP VIEW IF EXISTS {self.name(schemas.GRADE_VIEW.format(grade=grade))}")
+        for layer, tables in LAYERS.items():
+            for table in tables:
+                versions.drop_table(self.spark, self.name(table), self.path(layer, table))

@@ -35,8 +35,8 @@ def numbers_per_key(keyed: DataFrame) -> DataFrame:
 def means_of(per_key: DataFrame) -> DataFrame:
     """One row with both means, of what ``numbers_per_key`` found."""
     return per_key.where("member_count = 1").selectExpr(
-        "avg(dti) AS dti_mean",
-        f"avg(if({clean.HAS_INCOME}, years, NULL)) AS avg_emp_length",
+        f"{stats.exact_mean('dti')} AS dti_mean",
+        f"{stats.exact_mean(f'if({clean.HAS_INCOME}, years, NULL)')} AS avg_emp_length",
     )
 
 
@@ -114,7 +114,7 @@ def _shared_mean(per_key: DataFrame) -> Column:
     """
     others = (f"max({name}) AS {name}" for name in per_key.columns if name != KEY)
     row = per_key.where("member_count = 1").selectExpr(
-        f"struct(avg(dti) AS mean, {', '.join(others)}) AS row"
+        f"struct({stats.exact_mean('dti')} AS mean, {', '.join(others)}) AS row"
     )
     return row.scalar()["mean"]
 

@@ -194,3 +194,7 @@ CRUNCHED_TABLE = "crunched_dataset"
 REPORT_TABLE = "graded_score_dataset"
 GRADE_VIEW = "{grade}_score_dataset"
 DEDUPED_VIEW = "deduplicated_loans_view"
+INGESTED_TABLE = "ingested_loans"
+QUARANTINE_COLUMN = "quarantined"
+LINE_COLUMN = "rejected_line"
+SOURCE_COLUMN = "source_file"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from credmill import schemas
@@ -15,6 +16,7 @@ def read_loans_csv(
     schema: str | None = schemas.LOAN_SCHEMA,
     corrupt_column: str | None = None,
     on_error: str = "null",
+    source_column: str | None = None,
     **options,
 ) -> DataFrame:
     """Read a loan CSV with a header row.
@@ -24,7 +26,8 @@ def read_loans_csv(
     more columns, in any order.  ``schema=None`` infers the types instead.
     ``on_error`` says what becomes of fields that do not parse: ``"null"`` makes them
     NULL, ``"keep"`` also keeps their line in the string column ``corrupt_column``
-    (``_corrupt_record`` by default), and ``"fail"`` ends the read.
+    (``_corrupt_record`` by default), and ``"fail"`` ends the read.  ``source_column`` names a
+    column for the path of the file that a row comes from.
     """
     if on_error not in ("null", "keep", "fail"):
         raise ValueError(f"on_error is null, keep or fail, not {on_error!r}")
@@ -42,7 +45,8 @@ def read_loans_csv(
         options["columnNameOfCorruptRecord"] = corrupt_column
     # enforceSchema=False makes Spark check the header of every file by name.
     wide = spark.read.schema(in_file).csv(path, header=True, enforceSchema=False, **options)
-    return wide.select(*declared.names)
+    source = [F.col("_metadata.file_path").alias(source_column)] if source_column else []
+    return wide.select(*declared.names, *source)
 
 
 def _schema_in_file_order(spark, path, declared, corrupt_column, options) -> StructType:
@@ -73,3 +77,12 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+def read_member(spark: SparkSession, name: str, key: str) -> DataFrame:
+    """The rows of one key in a stored table.
+
+    The key is a literal, so of a bucketed table one bucket is read, and within its sorted files
+    the row groups and pages whose bounds hold the key.
+    """
+    return read_table(spark, name).where(F.col(schemas.KEY) == F.lit(key))

@@ -1,17 +1,20 @@
 """Sinks.  These functions run jobs.
 
 No sink forces a single task: the number of output files follows the
-partitions of the plan, and ``max_records_per_file`` bounds their size.
+partitions of the plan, or their bytes where the rows are rebalanced, and
+``max_records_per_file`` bounds their size.  Tables live in versioned folders: a write that
+fails leaves the rows of before in place (``sources.versions``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credmill import schemas
+from credmill.sources import versions
 
 
 def _writer(df: DataFrame, max_records_per_file: int | None):
@@ -21,8 +24,42 @@ def _writer(df: DataFrame, max_records_per_file: int | None):
     return writer
 
 
-def write_parquet(df: DataFrame, path: str, *, max_records_per_file: int | None = None) -> None:
-    _writer(df, max_records_per_file).parquet(path)
+def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows in partitions of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each.
+
+    Small partitions are put together and large ones are split by the adaptive planner, once their
+    sizes are known.  With ``by`` rows of equal values come together, and a value that holds much of
+    the data takes as many partitions as its bytes need.
+    """
+    return df.hint("rebalance", *by)
+
+
+def _findable(writer, key: str | None):
+    """Parquet Bloom filters on a column, no larger than its values in a row group need."""
+    if key:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    return writer
+
+
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    *,
+    max_records_per_file: int | None = None,
+    rebalance: Sequence[str] | None = None,
+    find_by: str | None = None,
+) -> None:
+    """Write Parquet files.
+
+    By default there is a file for each partition of the plan.  ``rebalance`` lets file sizes
+    follow bytes instead: rows are shuffled by the columns it names, or evenly if it names none.
+    ``find_by`` adds Bloom filters on a column that rows are looked up by, for rows that are not
+    sorted by it.
+    """
+    if rebalance is not None:
+        df = rebalanced(df, rebalance)
+    _findable(_writer(df, max_records_per_file), find_by).parquet(path)
 
 
 def write_csv(
@@ -51,18 +88,40 @@ def write_table(
     buckets: int | None = None,
     key: str = schemas.KEY,
     max_records_per_file: int | None = None,
-) -> None:
-    """Write an external catalog table.
+) -> str:
+    """Write an external catalog table and return the folder of this version below ``path``.
 
     With ``buckets`` the table is bucketed and sorted on ``key``, so that later
     joins on it need no shuffle.  Keys are unique by then, so buckets are even.
     Where a bucket is one file and ``session.SETTINGS`` holds, they need no sort either;
     ``max_records_per_file`` gives that up.
     """
-    writer = _writer(df, max_records_per_file).format(fmt).option("path", path)
-    if buckets:
-        writer = writer.bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(name)
+
+    def write(table: str, folder: str) -> None:
+        writer = _writer(df, max_records_per_file).format(fmt).option("path", folder)
+        if buckets:
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(table)
+
+    return versions.replace_table(df.sparkSession, name, path, write)
+
+
+def write_partitioned(
+    df: DataFrame,
+    name: str,
+    path: str,
+    by: str,
+    *,
+    fmt: str = "parquet",
+    max_records_per_file: int | None = None,
+) -> str:
+    """Write an external table with one directory for each value of a column, in one pass."""
+
+    def write(table: str, folder: str) -> None:
+        writer = _writer(df, max_records_per_file).format(fmt).option("path", folder)
+        writer.partitionBy(by).saveAsTable(table)
+
+    return versions.replace_table(df.sparkSession, name, path, write)
 
 
 def write_graded(
@@ -72,15 +131,16 @@ def write_graded(
     *,
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
-) -> None:
-    """Write all grades in one pass, one directory per grade."""
-    (
-        _writer(df, max_records_per_file)
-        .format(fmt)
-        .option("path", path)
-        .partitionBy("credit_grade")
-        .saveAsTable(name)
-    )
+) -> str:
+    """Write all grades in one pass, one directory per grade.
+
+    The rows are rebalanced by grade: a grade has as many files as its bytes need, where every
+    task of the plan would else write one file to each directory.
+    """
+    return write_partitioned(
+        rebalanced(df, ["credit_grade"]), name, path, "credit_grade",
+        fmt=fmt, max_records_per_file=max_records_per_file,
+    )
 
 
 def create_grade_views(

@@ -299,7 +299,7 @@ def test_job_writes_one_file_per_bucket(job):
     from pathlib import Path
 
     for table in (DEDUPED_TABLE, *schemas.SPLITS):
-        files = list(Path(job.path("staging", table)).glob("*.parquet"))
+        files = list(Path(job.path("staging", table)).glob("v*/*.parquet"))
         assert 0 < len(files) <= 4, table
 
 

@@ -131,7 +131,7 @@ def test_buckets_alone_decide_the_layout(spark, sf_dir, tmp_path, adaptive):
             names={"good_score_dataset": "fine_members"},
         )
         job.run(loan_view(spark, sf_dir))
-        assert len(list((tmp_path / "staging" / DEDUPED_TABLE).glob("part-*"))) == 3
+        assert len(list((tmp_path / "staging" / DEDUPED_TABLE).glob("v*/part-*"))) == 3
         assert job.grade("good").count() > 0
         from credmill.operators import join
 
