@@ -12,14 +12,18 @@ SETTINGS = {
     # The JVM does not compile methods beyond 8000 bytes of code.  Generated code
     # above that is better run operator by operator than interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Row counts of analyzed tables order the joins and choose their strategy.
-    "spark.sql.cbo.enabled": "true",
-    "spark.sql.cbo.joinReorder.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Buckets of one file are read in the order they were written in.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
+# Row counts of analyzed tables order the joins and choose their strategy.  Estimating them makes
+# the planning of long plans slower, so sessions ask for it that join analyzed tables in many ways.
+COST_BASED = {
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
+}
+
 
 def build_session(
     app: str,

@@ -51,14 +51,17 @@ def replace_table(spark: SparkSession, name: str, path: str, write: Callable[[st
 
     ``write`` gets a table name and a folder and writes there.  The folder is returned.
     """
-    folder, stand_in = new_version(path), f"{name}__{uuid.uuid4().hex[:8]}"
+    folder, first = new_version(path), not spark.catalog.tableExists(name)
+    stand_in = name if first else f"{name}__{uuid.uuid4().hex[:8]}"
     try:
         write(stand_in, folder)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {stand_in}")
         delete(spark, folder)
         raise
-    if spark.catalog.tableExists(name) and _same_layout(spark, name, stand_in):
+    if first:
+        return folder
+    if _same_layout(spark, name, stand_in):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
         spark.sql(f"DROP TABLE {stand_in}")
     else:

@@ -12,6 +12,7 @@ from credmill import schemas
 from credmill.operators import stats
 from credmill.plans.batch_job import CHECKS, Job, TooManyBadLines
 from credmill.schemas import KEY
+from credmill.session import COST_BASED
 from credmill.sources import writers
 from loan_view import loan_view
 from tests.plans import count, explain
@@ -19,7 +20,7 @@ from tests.plans import count, explain
 
 @pytest.fixture(scope="module")
 def job(spark, sf_dir, tmp_path_factory):
-    job = Job(spark, str(tmp_path_factory.mktemp("job")), 4, prefix="w_")
+    job = Job(spark, str(tmp_path_factory.mktemp("job")), 4, prefix="w_", statistics=True)
     job.run(loan_view(spark, sf_dir))
     return job
 
@@ -109,14 +110,16 @@ def test_statistics_order_the_joins(spark, job):
         depths = {name: len(before) for before, name in re.findall(r"^(.*)Relation spark_catalog\.default\.w_(\w+)", tree, re.M)}
         return min(depths, key=depths.get)
 
-    assert joined_last(joined()) != schemas.ULTRA_RISK_TABLE
+    assert joined_last(joined()) == schemas.ULTRA_RISK_TABLE
     rows = sorted(map(tuple, joined().collect()))
-    spark.conf.set("spark.sql.cbo.enabled", "false")
     try:
-        assert joined_last(joined()) == schemas.ULTRA_RISK_TABLE
+        for name, value in COST_BASED.items():
+            spark.conf.set(name, value)
+        assert joined_last(joined()) != schemas.ULTRA_RISK_TABLE
         assert rows == sorted(map(tuple, joined().collect())) != []
     finally:
-        spark.conf.set("spark.sql.cbo.enabled", "true")
+        for name in COST_BASED:
+            spark.conf.unset(name)
 
 
 LINES = [
