@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -12,12 +13,28 @@ import pyarrow.compute  # noqa: F401  makes pa.compute available
 SLICE_BYTES = 1 << 19
 
 
+def give_back() -> None:
+    """Return memory that is free in this worker to the system.
+
+    Workers live on from stage to stage.  What one stage has freed would count beside what the
+    next one takes.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(
-    batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
+    batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES, *, within: str | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most ``limit`` bytes of text, or one row."""
+    """Cut batches so that each holds at most ``limit`` bytes of text, or one row.
+
+    ``within`` names a struct column that holds the text.
+    """
     for batch in batches:
-        lengths = batch.column(text)
+        lengths = pa.compute.struct_field(batch.column(within), text) if within else batch.column(text)
         sizes = pa.compute.fill_null(pa.compute.binary_length(lengths), 0).to_numpy(False)
         start, held = 0, 0
         for row, size in enumerate(sizes):
@@ -27,6 +44,7 @@ def slices(
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
 
 
 def raw_texts(column: pa.Array) -> list[bytes]:

@@ -19,8 +19,9 @@ Links are found in two steps, neither of which lists all pairs of a group:
 2. In each list the classes are found that may be linked to one of another component, by
    a 256-bit image of their sketches.  Only their full sets are brought together; there the
    pairs are estimated from the union of their sketches, and those that may reach
-   the threshold are compared.  Lists are cut into blocks of bounded size; lists of one
-   component are left out; of each block only links that join something new leave it.
+   the threshold are compared.  Lists are cut by the sizes of sets and then into blocks of bounded
+   size; parts of one component are left out; of each block only links that join something
+   new leave it.
 
 All comparisons that make a link are exact, on the full sets of 64-bit shingle hashes.
 Pairs inside a component need no comparison, so no link between components is lost.
@@ -39,8 +40,9 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from credmill.llm import words
 from credmill.llm.arrow import raw_texts, slices
@@ -165,15 +167,54 @@ def _listed(classes: DataFrame, sketch: int, common: int, percent: int) -> DataF
     )
 
 
-BLOCK_KEY = ("value", "low", "high")
+BLOCK_KEY = ("value", "grp", "low", "high")
+
+
+def _grouped(known: DataFrame, percent: int) -> DataFrame:
+    """The rows of lists by groups of sizes in which classes of two components meet.
+
+    Sets of one band of sizes, or of two neighbouring ones, may be linked; others differ too much.  So a
+    group holds the classes of a list in one band, and those of the band below (``lower``), which are
+    compared with the others only.  Columns: those of ``known``, ``grp``, ``lower`` and ``size``.
+    """
+    # A little more than the largest ratio of two linked sizes, so that rounding sets nobody apart.
+    ratio = 100 / percent * (1 + 1e-6)
+    banded = known.withColumn("band", F.floor(F.log("n") / float(np.log(ratio))))
+    per_band = banded.groupBy("value", "band").agg(
+        F.count(F.lit(1)).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    bands = Window.partitionBy("value").orderBy("band")
+    own = F.struct("band", "c", "x", "y")
+
+    def meeting(other: str, step: int) -> tuple[Column, Column]:
+        """Size of the group with a neighbouring band, NULL where only one component is in it, and
+        whether there is such a band."""
+        there = F.col(f"{other}.band") == F.col("band") + step
+        low = F.when(there, F.least("x", f"{other}.x")).otherwise(F.col("x"))
+        high = F.when(there, F.greatest("y", f"{other}.y")).otherwise(F.col("y"))
+        return F.when(low < high, F.col("c") + F.when(there, F.col(f"{other}.c")).otherwise(0)), there
+
+    size_own, _ = meeting("below", -1)
+    size_up, there = meeting("above", 1)
+    groups = F.array(
+        F.struct(F.col("band").alias("grp"), F.lit(False).alias("lower"), size_own.alias("size")),
+        F.struct((F.col("band") + 1).alias("grp"), F.lit(True).alias("lower"), F.when(there, size_up).alias("size")),
+    )
+    met = (
+        per_band.withColumns({"below": F.lag(own).over(bands), "above": F.lead(own).over(bands)})
+        .select("value", "band", F.filter(groups, lambda g: g["size"].isNotNull()).alias("groups"))
+        .filter(F.size("groups") > 0)
+    )
+    placed = banded.drop("size").join(met, ["value", "band"]).withColumn("g", F.explode("groups"))
+    return placed.select("*", "g.grp", "g.lower", "g.size").drop("band", "groups", "g")
 
 
 def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: int) -> DataFrame:
     """Who has to be compared where: blocks of lists, and the classes that may be linked to
     one of another component there.
 
-    ``listed`` has value, size of the list, class, number of shingles, component, bits and
-    ``on``, all lists that the class is on, the largest first.
+    ``listed`` has value, group of the list and its size, class, number of shingles, component, bits
+    and ``on``, all lists that the class is on, the largest first.
     Two sketches have no more values in common than bits, but for values that share a
     bit, which are counted in.
     """
@@ -181,9 +222,9 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     placed = listed.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     grouped = placed.groupBy(
-        "value", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")
-    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "bits", "on")).alias("members"))
-    schema = pa.schema([(name, pa.int64()) for name in (*BLOCK_KEY, "rep", "own")])
+        "value", "grp", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")
+    ).agg(F.collect_list(F.struct("rep", "n", "component", "own", "lower", "bits", "on")).alias("members"))
+    schema = pa.schema([(name, pa.int64()) for name in (*BLOCK_KEY, "rep", "own", "lower")])
 
     def compare(batches):
         for batch in batches:
@@ -192,7 +233,7 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
             lists = batch.column("members")
             for at, key in enumerate(keys):
                 meeting = _may_link(lists[at].as_py(), key, sketch, common, percent)
-                found += [(*key, m["rep"], m["own"]) for m in meeting]
+                found += [(*key, m["rep"], m["own"], int(m["lower"])) for m in meeting]
             if found:
                 yield pa.record_batch([pa.array(list(c), pa.int64()) for c in zip(*found)], schema=schema)
 
@@ -200,7 +241,7 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
 
 
 def _may_link(members: list[dict], key: tuple, sketch: int, common: int, percent: int) -> list[dict]:
-    value, apart = key[0], key[1] != key[2]
+    value, apart = key[0], key[2] != key[3]
     members.sort(key=lambda m: m["n"])
     for m in members:
         m["lists"] = frozenset(m["on"])
@@ -215,6 +256,8 @@ def _may_link(members: list[dict], key: tuple, sketch: int, common: int, percent
                 break  # all further sets are larger still
             if one["component"] == other["component"] or (apart and one["own"] == other["own"]):
                 continue
+            if one["lower"] and other["lower"]:
+                continue  # they meet in the group of their own band
             least = max(one["needed"], other["needed"]) - min(one["hidden"], other["hidden"])
             if (one["mask"] & other["mask"]).bit_count() < least:
                 continue
@@ -225,7 +268,7 @@ def _may_link(members: list[dict], key: tuple, sketch: int, common: int, percent
 
 
 def _block_pairs(members: list[dict], key: tuple, sketch: int, common: int, percent: int):
-    value, apart = key[0], key[1] != key[2]
+    value, apart = key[0], key[2] != key[3]
     members.sort(key=lambda m: m["n"])
     for m in members:
         m["values"] = frozenset(m["sketch"])
@@ -237,6 +280,8 @@ def _block_pairs(members: list[dict], key: tuple, sketch: int, common: int, perc
                 break  # all further sets are larger still
             if one["component"] == other["component"] or (apart and one["own"] == other["own"]):
                 continue
+            if one["lower"] and other["lower"]:
+                continue  # they meet in the group of their own band
             both = one["values"] & other["values"]
             needed = max(one["needed"], other["needed"])
             if len(both) < needed:
@@ -253,7 +298,7 @@ def _verified(meeting: DataFrame, known: DataFrame, sets: DataFrame, sketch: int
     ``known`` has size, component, sketch and lists of each class.  Sets travel once to each
     block that asks for them, and a block gives at most as many links as it has classes.
     """
-    fields = ("rep", "n", "component", "own", "sketch", "on")
+    fields = ("rep", "n", "component", "own", "lower", "sketch", "on")
     gathered = (
         meeting.join(known, "rep")
         .join(sets, "rep")
@@ -358,14 +403,13 @@ def near_duplicates(
     # Step 2: what may be linked across the components so far.
     so_far = connected(first).select(F.col("node").alias("rep"), "component")
     known = listed.join(so_far, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_lists = known.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_lists = open_lists.filter("x <> y").select("value")
     on = listed.groupBy("rep").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("size", "value")), asc=False), lambda m: m["value"]
         ).alias("on")
     )
-    members = known.join(open_lists, "value").join(on, "rep").join(classes.select("rep", "bits"), "rep")
+    about = classes.select("rep", "bits").join(on, "rep")
+    members = _grouped(known, percent).join(about, "rep")
     meeting = stored(_meeting(members, sketch, common, percent, block), "meeting")
     asked = meeting.select("rep").distinct()
     about = (
@@ -393,12 +437,44 @@ def near_duplicates(
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` for each component, with all its columns.
 
-    It is that of the smallest document id; of rows that share this id any one stays.
-    Rows without an id all stay.
+    Rows of one id with different texts are documents of their own here.  Of a component the row with
+    the smallest id stays; of such rows the one whose text has the smallest SHA-256 (a NULL text comes
+    last), and of rows with equal texts the one whose JSON has the smallest hash.  Rows without an
+    id all stay.
     """
-    kept = near_duplicates(docs, **options).filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept.filter("doc_id IS NOT NULL"), "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    spark = docs.sparkSession
+    folder = shared_dir(spark, "first-rows")
+    named = docs.filter("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("id"),
+        F.col("text").isNull().alias("none"),
+        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("digest"),
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+    )
+    which = ["id", "none", "digest"]
+    # Further texts of an id get numbers below all ids; they are stored, so a number never changes.
+    texts = F.struct("none", "digest")
+    several = named.groupBy("id").agg(F.min(texts).alias("first"), F.max(texts).alias("last")).filter("first <> last")
+    least = named.agg(F.min("id").alias("least")).scalar()
+    further = (
+        named.select(*which).join(several.select("id", "first"), "id").filter(texts != F.col("first")).select(*which).distinct()
+    )
+    further.withColumn("number", least - 1 - F.monotonically_increasing_id()).write.parquet(f"{folder}/further")
+    further = spark.read.parquet(f"{folder}/further")
+    numbered = named.join(further, which, "left").withColumn("number", F.coalesce("number", "id"))
+    found = near_duplicates(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), **options)
+    component = found.select(F.col("doc_id").alias("number"), "component_id").distinct()
+    # Only numbers and digests meet their component; texts are shuffled once, for the rows that stay.
+    winners = (
+        numbered.select("number", *which)
+        .join(component, "number")
+        .groupBy("component_id")
+        .agg(F.min(F.struct(*which)).alias("winner"))
+        .select("winner.*")
+    )
+    kept = named.join(winners, which, "left_semi").groupBy(*which).agg(
+        F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")
+    )
+    return kept.select("row.*").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from credmill.llm import words
-from credmill.llm.arrow import raw_texts, slices
+from credmill.llm.arrow import give_back, raw_texts, slices
 from credmill.llm.shipping import ship
 from credmill.sources.scratch import shared_dir
 
@@ -47,7 +47,7 @@ BLOCK_ITEMS = 1 << 17
 # Compressed text that is handled at once.
 PACKED_SLICE = 1 << 19
 # Text that is handled at once: some twenty arrays of eight bytes for each byte of it.
-TEXT_SLICE = 3 << 19
+TEXT_SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -261,6 +261,7 @@ def _whole_buckets(batches) -> Iterator[list[dict]]:
             held.append(row)
     if held:
         yield held
+    give_back()
 
 
 def _rows_by_doc(ids: np.ndarray, versions: np.ndarray, places: np.ndarray) -> pa.RecordBatch | None:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from credmill.llm.arrow import raw_texts, slices
 from credmill.llm.repeats import (
-    PACKED_SLICE, Kind, Segments, find_repeats, identified, packed, removed, unpack,
+    PACKED_SLICE, TEXT_SLICE, Kind, Segments, find_repeats, identified, packed, removed, unpack,
 )
 from credmill.llm.words import table
 
@@ -114,9 +114,8 @@ def without_repeats(docs: DataFrame, width: int = BYTES) -> DataFrame:
     names = docs.columns
 
     def of(batches):
-        for batch in batches:
-            row, text = batch.column("row"), names.index("text")
-            fields = row.flatten()
+        for batch in slices(batches, limit=TEXT_SLICE, within="row"):
+            fields, text = batch.column("row").flatten(), names.index("text")
             known, places = (batch.column(name).to_pylist() for name in ("known", "places"))
             raws = raw_texts(fields[text])
             kept = [
@@ -135,8 +134,8 @@ def without_repeats(docs: DataFrame, width: int = BYTES) -> DataFrame:
                 fields[at] = pa.array(changed, fields[at].type)
             yield pa.record_batch(fields, names=names)
 
-    joined = whole.join(spans, ["doc_id", "version"], "left").select("row", "known", "places")
-    return joined.mapInArrow(of, schema)
+    joined = whole.join(spans, ["doc_id", "version"], "left")
+    return joined.select("row", "known", "places").mapInArrow(of, schema)
 
 
 def _cut(raw: bytes, gone: np.ndarray) -> bytes:

@@ -98,7 +98,54 @@ def test_near_duplicates_of_odd_rows(odd, odd_rows):
     assert ids.count(None) == 2
 
 
+def test_texts_of_one_id_are_judged_apart(documents):
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 80, 5000) for _ in range(4))
+    near_a, near_b = a + " more", b + " more"
+    rows = [(1, a), (1, b), (2, near_a), (0, near_b), (1, a), (3, c), (3, d), (4, None), (4, ""), (None, a), (-7, c)]
+    kept = sorted(map(str, ((r.doc_id, r.text) for r in minhash.keep_first(documents(*rows)).collect())))
+    assert kept == sorted(map(str, [(1, a), (0, near_b), (3, d), (4, None), (4, ""), (None, a), (-7, c)]))
+    none_near = minhash.keep_first(documents((1, a), (1, b), (2, c))).collect()
+    assert sorted(r.text for r in none_near) == sorted([a, b, c])
+
+
+def test_which_of_repeated_rows_stays_does_not_depend_on_their_order(documents):
+    rows = [(1, "one two three four five six")] * 3
+    frame = documents(*rows).withColumn("source", minhash.F.monotonically_increasing_id().cast("string"))
+    found = {minhash.keep_first(frame.repartition(n)).first().source for n in (1, 2, 3)}
+    assert len(found) == 1
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_a_chain_of_growing_sets(documents, block):
+    """Each document holds the one before and some more words: links reach over the bands of sizes."""
+    rng = random.Random(block)
+    words = [f"u{i}" for i in range(1200)]
+    rows, size = [], 30
+    while size < 1200:
+        rows.append((len(rows), " ".join(words[:size])))
+        size += max(1, round(size * rng.choice([0.05, 0.2, 0.24, 0.26])))
+    rng.shuffle(rows)
+    found = minhash.near_duplicates(documents(*rows), shingle_words=2, block=block).collect()
+    _, component = near_brute(rows, 2)
+    assert {r.doc_id: r.component_id for r in found} == {i: component[i] for i, _ in rows}
+    assert len(set(component.values())) > 1
+
+
+def test_a_long_list_sends_each_class_to_few_blocks(spark):
+    """One list of 60,000 classes of all sizes: bands halve the rows sent, and more with less crowded ones."""
+    n = 60_000
+    known = spark.range(n).selectExpr(
+        "7L AS value", "id AS rep", "cast(30 + pow(1.0002, id % 40000) AS bigint) AS n", "id AS component", "60000L AS size"
+    )
+    grouped = minhash._grouped(known, 80)
+    sent = grouped.selectExpr("sum(ceil(size / 256)) AS rows").first().rows
+    assert grouped.count() <= 2 * n
+    assert sent < n * (n // 256) / 2
+
+
 def test_near_duplicates_of_nothing(documents):
+    assert minhash.keep_first(documents((1, "a")).filter("false")).count() == 0
     assert minhash.near_duplicates(documents((1, "a")).filter("false")).count() == 0
 
 
