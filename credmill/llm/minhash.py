@@ -55,7 +55,9 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 SKETCH = 24
 COMMON = 8
-BLOCK = 256
+# Classes of a block at most, and shingles of their sets together, 8 bytes each.
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -170,6 +172,11 @@ def _listed(classes: DataFrame, sketch: int, common: int, percent: int) -> DataF
 BLOCK_KEY = ("value", "grp", "low", "high")
 
 
+def _band_ratio(percent: int) -> float:
+    """A little more than the largest ratio of two linked sizes, so that rounding sets nobody apart."""
+    return 100 / percent * (1 + 1e-6)
+
+
 def _grouped(known: DataFrame, percent: int) -> DataFrame:
     """The rows of lists by groups of sizes in which classes of two components meet.
 
@@ -177,9 +184,7 @@ def _grouped(known: DataFrame, percent: int) -> DataFrame:
     group holds the classes of a list in one band, and those of the band below (``lower``), which are
     compared with the others only.  Columns: those of ``known``, ``grp``, ``lower`` and ``size``.
     """
-    # A little more than the largest ratio of two linked sizes, so that rounding sets nobody apart.
-    ratio = 100 / percent * (1 + 1e-6)
-    banded = known.withColumn("band", F.floor(F.log("n") / float(np.log(ratio))))
+    banded = known.withColumn("band", F.floor(F.log("n") / float(np.log(_band_ratio(percent)))))
     per_band = banded.groupBy("value", "band").agg(
         F.count(F.lit(1)).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")
     )
@@ -218,7 +223,10 @@ def _meeting(listed: DataFrame, sketch: int, common: int, percent: int, block: i
     Two sketches have no more values in common than bits, but for values that share a
     bit, which are counted in.
     """
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    # A set of the group has fewer shingles than the upper end of its band; few long ones fill a block.
+    fitting = F.floor(BLOCK_SHINGLES / F.pow(F.lit(_band_ratio(percent)), F.col("grp") + 1))
+    classes = F.least(F.lit(block), F.greatest(F.lit(16), fitting))
+    blocks = F.ceil(F.col("size") / classes).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     placed = listed.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     grouped = placed.groupBy(
