@@ -1,13 +1,13 @@
 """Removes recurring passages by sharded automata over repeated phrases.
 
-A window is a number of consecutive words of one document.  What recurs is confirmed
-first: windows that occur in more than one document, shard by shard, where a shard holds
-all windows with certain anchors (see ``repeats``).  The confirmed windows of a shard
-are compiled into an Aho-Corasick automaton over numbers of words, and all passages of
-the shard are streamed through it, which finds every occurrence of every one of them with
-the words themselves compared.  The smallest document id of a window's
+A window is a number of consecutive words of one document.  Which windows occur in more than one
+document is found by hash first, shard by shard, where a shard holds all windows with certain
+anchors (see ``repeats``).  Those windows are compiled into an Aho-Corasick automaton over numbers of
+words, and the segments of the shard that hold one are streamed through it, which finds every
+occurrence with the words themselves compared.  The smallest document id of a window's
 occurrences is the one that keeps it; in all other documents the words it covers go.
-Whole repeated phrases need no automaton: copies are settled by their hash.
+Whole repeated phrases need no automaton: copies are settled by their hash.  So documents are not
+streamed whole, and what the automaton reads was chosen by hashes.
 
 Automata never hold more than a group of windows (``GROUP_WINDOWS``) or one anchor's.
 

@@ -16,9 +16,10 @@ windows are compared only where they can be equal to another one:
 
 Hashes choose what meets; that two phrases are equal is decided by 128 bits, that two
 windows are equal by their items.  Anchors and segments are dealt into buckets by hash,
-and the number of buckets grows with the input, so a bucket is bounded.  An anchor or a
-segment that many documents have enters a bucket once for each slice of text of a few
-megabytes: all others of the slice are known to be repeats right there.
+and the number of buckets grows with the input.  An anchor or a
+segment that many documents have enters a bucket once for each slice of text of a
+megabyte: all others of the slice are known to be repeats right there.  An anchor that very many
+documents have between different words or bytes stays in one bucket, which is not bounded then.
 
 Rows are told apart by document id and a hash of their text.
 """

@@ -1,13 +1,13 @@
-"""Removes long repeated substrings by prefix-free parsing and suffix arrays.
+"""Removes long repeated substrings by the phrases of prefix-free parsing and sorted windows.
 
 A rolling hash cuts each text into phrases.  A phrase with the bytes that follow it
-stands for all windows that start in it, so the corpus is a dictionary of distinct phrases
-and a parse, and long repeats are equal phrases: they are found by grouping the parse and
-never looked into.  In what is left, windows are put into corpus order shard by shard: a
-shard holds all windows with certain anchors, and its suffix array is sorted by as many
-bytes as a window has, which is all that decides whether two windows are equal.
-Neighbours in that order with a common prefix of a whole window are repeats, and the
-smallest document id of such a run is the one that keeps it.
+stands for all windows that start in it, so long repeats are equal phrases: they are found by
+grouping the parse by a 128-bit digest.  In what is left, anchors deal windows into shards, and the
+windows of a shard are sorted by as many bytes as a window has, which is all that decides whether
+two windows are equal.  The smallest document id of equal windows is the one that keeps them.
+
+Not built of the method: suffix arrays of the dictionary and of the parse, and their combination
+into an order of the corpus.
 
 Matches never cross documents, and are judged on the input.
 
