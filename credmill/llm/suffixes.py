@@ -153,14 +153,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-# Two hexadecimal digits stand for a byte; windows are told apart by a 64-bit hash.
+# Two hexadecimal digits stand for a byte; windows are told apart by a 64-bit hash.  Texts are cut into
+# blocks of 512 bytes with the 49 behind them first, since a substring is found from the start of its text.
 ORACLE_SQL = """
 WITH texts AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), blocks AS (
+  SELECT doc_id, len(digits) // 2 AS n, block, substr(digits, 1024 * block + 1, 1122) AS part
+  FROM texts, unnest(range(0, (len(digits) // 2 + 511) // 512)) AS numbers(block)
 ), each_byte AS (
-  SELECT doc_id, place, substr(digits, 2 * place - 1, 2) AS pair,
-    CASE WHEN 2 * place + 98 <= len(digits) THEN hash(substr(digits, 2 * place - 1, 100)) END AS run
-  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 + 1)) AS place FROM texts)
+  SELECT doc_id, 512 * block + i AS place, substr(part, 2 * i - 1, 2) AS pair,
+    CASE WHEN 512 * block + i + 49 <= n THEN hash(substr(part, 2 * i - 1, 100)) END AS run
+  FROM (SELECT *, unnest(range(1, least(512, n - 512 * block) + 1)) AS i FROM blocks)
 ), firsts AS (
   SELECT run, min(doc_id) AS holder FROM each_byte WHERE run IS NOT NULL GROUP BY run
 ), covered AS (
