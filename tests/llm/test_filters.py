@@ -262,6 +262,6 @@ def test_stages_take_odd_rows(spark, odd, sf_dir):
 
 def test_registry(spark):
     names = registry.queries()
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in names) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(names)
     assert prose(random.Random(1), 3)
