@@ -18,8 +18,11 @@ Hashes choose what meets; that two phrases are equal is decided by 128 bits, tha
 windows are equal by their items.  Anchors and segments are dealt into buckets by hash,
 and the number of buckets grows with the input.  An anchor or a
 segment that many documents have enters a bucket once for each slice of text of a
-megabyte: all others of the slice are known to be repeats right there.  An anchor that very many
-documents have between different words or bytes stays in one bucket, which is not bounded then.
+megabyte: all others of the slice are known to be repeats right there.  Anchors that occur very
+often are counted, and their windows are dealt one by one, by a hash of the whole window: equal
+windows still meet, those that only share the anchor are spread.  Tasks know such anchors by a
+Bloom filter of bounded size; an anchor that passes it by chance is treated alike everywhere, so
+the result stays the same.
 
 Rows are told apart by document id and a hash of their text.
 """
@@ -49,6 +52,10 @@ BLOCK_ITEMS = 1 << 17
 PACKED_SLICE = 1 << 19
 # Text that is handled at once: some twenty arrays of eight bytes for each byte of it.
 TEXT_SLICE = 1 << 20
+# Occurrences from which the windows of an anchor are dealt one by one.
+HOT_ANCHOR = 1 << 14
+# 64-bit words of the filter of such anchors, 2 MB, however many there are.
+FILTER_WORDS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -306,11 +313,15 @@ def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
             first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
             low = np.minimum.reduceat(ids[doc][order], first)
             high = np.maximum.reduceat(ids[doc][order], first)
+            times = np.diff(np.append(first, len(at)))
             shared = np.zeros(len(at), bool)
-            shared[order] = np.repeat(low < high, np.diff(np.append(first, len(at))))
-            # Of an anchor that several documents of the slice have, that of the smallest id goes on.
+            shared[order] = np.repeat(low < high, times)
+            # Of an anchor that several documents of the slice have, that of the smallest id goes on,
+            # with the power of two next to the number of its occurrences.
             sent = ~shared
             sent[order[first]] = True
+            stands_for = np.zeros(len(at), np.uint8)
+            stands_for[order[first]] = np.where(low < high, np.rint(np.log2(times)), 0)
             bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             rows = []
             for chosen, dealt in ((shared, None), (sent, keys)):
@@ -327,7 +338,8 @@ def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
                                 ids[docs_in].tobytes(), versions[docs_in].astype("<u4").tobytes(),
                                 counts.astype("<u4").tobytes(),
                                 dealt[some].astype("<u4").tobytes() if dealt is not None else None,
-                                places[some].tobytes(), None, None,
+                                places[some].tobytes(),
+                                stands_for[some].tobytes() if dealt is not None else None, None,
                             )
                         )
             yield _dealt(rows)
@@ -335,13 +347,17 @@ def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     return docs.mapInArrow(of, _BUCKET)
 
 
-def _shared_anchors(dealt: DataFrame, buckets: int) -> DataFrame:
-    """Places of the anchors that more than one document has."""
+def _shared_anchors(dealt: DataFrame, buckets: int, hot_from: int) -> DataFrame:
+    """Places of the anchors that more than one document has; several rows for a document.
+
+    In rows without a document ``places`` are hot anchors of the bucket that ``version`` names.
+    """
 
     def of(batches):
         for rows in _whole_buckets(batches):
             asked = [row for row in rows if row["hashes"] is not None]
             done = [row for row in rows if row["hashes"] is None]
+            number = rows[0]["bucket"]
             rows.clear()
             out = []
             if asked:
@@ -353,19 +369,72 @@ def _shared_anchors(dealt: DataFrame, buckets: int) -> DataFrame:
                 low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
                 shared = order[np.repeat(low < high, np.diff(np.append(first, len(keys))))]
                 out.append(_rows_by_doc(ids[shared], versions[shared], places[shared]))
+                times = np.add.reduceat(np.int64(1) << _of_rows(asked, "sizes", "u1")[order].astype(np.int64), first)
+                hot = keys[order[first]][(low < high) & (times >= hot_from)]
+                if len(hot):
+                    row = [[None], [number], [hot.tobytes()]]
+                    out.append(pa.record_batch([pa.array(c, f.type) for c, f in zip(row, _FOUND_SCHEMA)], schema=_FOUND_SCHEMA))
             if done:
                 out.append(_rows_by_doc(*_docs_of_rows(done), _of_rows(done, "places", "<u4")))
             yield from (batch for batch in out if batch is not None)
 
-    found = _in_buckets(dealt, buckets).mapInArrow(of, _FOUND)
+    return _in_buckets(dealt, buckets).mapInArrow(of, _FOUND)
+
+
+def _by_document(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "version").agg(F.collect_list("places").alias("places"))
 
 
+# --- hot anchors ----------------------------------------------------------------------------
+
+
+def _bits(anchors: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the filter and the four bits in it, for anchors as bucket and low half of the hash."""
+    mixed = words.mix(anchors.astype(np.uint64))
+    other = words.mix(mixed ^ np.uint64(0x9E3779B97F4A7C15))
+    bits = np.zeros(len(mixed), np.uint64)
+    for shift in (0, 6, 12, 18):
+        bits |= np.uint64(1) << ((other >> np.uint64(shift)) & np.uint64(63))
+    return (mixed % np.uint64(n_words)).astype(np.int64), bits
+
+
+def _hot_filter(found: DataFrame) -> np.ndarray:
+    """Bloom filter of the hot anchors; no words if there are none."""
+    rows = found.filter("doc_id IS NULL").select("version", "places")
+    n_hot = (rows.agg(F.sum(F.octet_length("places"))).first()[0] or 0) // 4
+    if not n_hot:
+        return np.zeros(0, np.uint64)
+    n_words = min(FILTER_WORDS, 1 << n_hot.bit_length())
+    schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
+
+    def of(batches):
+        for batch in batches:
+            for number, places in zip(*(column.to_pylist() for column in batch.columns)):
+                low = np.frombuffer(places, "<u4").astype(np.uint64)
+                place, bits = _bits(np.uint64(number) << np.uint64(32) | low, n_words)
+                yield pa.record_batch([pa.array(place), pa.array(bits.view(np.int64))], schema=schema)
+
+    set_bits = rows.mapInArrow(of, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    table = set_bits.toArrow()  # FILTER_WORDS rows at most
+    out = np.zeros(n_words, np.uint64)
+    out[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _hot(keys: np.ndarray, buckets: int, hot: np.ndarray) -> np.ndarray:
+    """Which anchors pass the filter."""
+    if not len(hot):
+        return np.zeros(len(keys), bool)
+    number = (keys >> np.uint64(32)) % np.uint64(buckets)
+    place, bits = _bits(number << np.uint64(32) | (keys & np.uint64(0xFFFFFFFF)), len(hot))
+    return hot[place] & bits == bits
+
+
 # --- segments -----------------------------------------------------------------------------
 
 
-def _segments(rows: DataFrame, kind: Kind, buckets: int) -> DataFrame:
-    """Runs of windows that may be repeats, dealt by their anchor."""
+def _segments(rows: DataFrame, kind: Kind, buckets: int, hot: np.ndarray) -> DataFrame:
+    """Runs of windows that may be repeats, dealt by their anchor, or by window if that is hot."""
 
     def of(batches):
         for part in slices(batches, "packed", PACKED_SLICE):
@@ -390,7 +459,7 @@ def _segments(rows: DataFrame, kind: Kind, buckets: int) -> DataFrame:
             )
             first = starts[cut]
             last = np.append(starts[np.flatnonzero(cut)[1:] - 1], starts[-1]) + kind.width
-            yield _deal_segments(own, ids, versions, first, last, least[first], buckets)
+            yield _deal_segments(own, ids, versions, first, last, least[first], buckets, hot)
 
     return rows.mapInArrow(of, _BUCKET)
 
@@ -414,16 +483,33 @@ def _members(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return keys[place] == values
 
 
-def _deal_segments(own, ids, versions, first, last, keys, buckets) -> pa.RecordBatch:
-    doc = own.doc_of[first]
+def _repeats_in_slice(own: Slice, ids, first, last) -> tuple[list[bytes], np.ndarray]:
+    """Segments, and which of them a document of the slice with a smaller id has, too."""
     raw = [own.raw(a, b) for a, b in zip(first.tolist(), last.tolist())]
-    # Of equal segments in the slice only that of the smallest id is open.
+    of = ids[own.doc_of[first]].tolist()
     smallest: dict[bytes, int] = {}
-    for text, d in zip(raw, doc.tolist()):
-        known = smallest.get(text)
-        if known is None or ids[d] < ids[known]:
-            smallest[text] = d
-    repeat = np.array([ids[smallest[text]] < ids[d] for text, d in zip(raw, doc.tolist())])
+    for text, number in zip(raw, of):
+        smallest[text] = min(number, smallest.get(text, number))
+    return raw, np.array([smallest[text] < number for text, number in zip(raw, of)], bool)
+
+
+def _deal_segments(own, ids, versions, first, last, keys, buckets, hot) -> pa.RecordBatch:
+    raw, repeat = _repeats_in_slice(own, ids, first, last)
+    spread = ~repeat & _hot(keys, buckets, hot)
+    if spread.any():
+        # Segments of hot anchors are cut into their windows, and those dealt by all of their items.
+        n_windows = (last - first - own.kind.width + 1)[spread]
+        within = np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        at = np.repeat(first[spread], n_windows) + within
+        windows, again = _repeats_in_slice(own, ids, at, at + own.kind.width)
+        by_window = np.array([xxhash.xxh3_64_intdigest(window) for window in windows], np.uint64)
+        raw = [text for text, gone in zip(raw, spread.tolist()) if not gone] + windows
+        first, last = np.append(first[~spread], at), np.append(last[~spread], at + own.kind.width)
+        keys, repeat = np.append(keys[~spread], by_window), np.append(repeat[~spread], again)
+        order = np.argsort(first, kind="stable")
+        first, last, keys, repeat = first[order], last[order], keys[order], repeat[order]
+        raw = [raw[i] for i in order.tolist()]
+    doc = own.doc_of[first]
     bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
     start = own.bounds[doc]
     spans = np.stack([first - start, last - start], axis=1).astype("<u4")
@@ -484,8 +570,7 @@ def _repeated_spans(dealt: DataFrame, kind: Kind, buckets: int, compare: Compare
             if asked:
                 yield from _compare_bucket(asked, kind, compare)
 
-    found = _in_buckets(dealt, buckets).mapInArrow(of, _FOUND)
-    return found.groupBy("doc_id", "version").agg(F.collect_list("places").alias("places"))
+    return _by_document(_in_buckets(dealt, buckets).mapInArrow(of, _FOUND))
 
 
 def _compare_bucket(rows: list[dict], kind: Kind, compare: Compare) -> Iterator[pa.RecordBatch]:
@@ -547,9 +632,11 @@ def find_repeats(docs: DataFrame, kind: Kind, compare: Compare) -> DataFrame:
     keys = ["doc_id", "version"]
     phrases = stored(_phrases(named, kind), "phrases")  # read twice below
     known = stored(_known_spans(phrases), "known")
-    anchors = _shared_anchors(_anchors(named, kind, buckets), buckets)
-    open_docs = packed(named, kind).join(anchors, keys).join(known, keys, "left")
-    segments = _segments(open_docs.select(*keys, "packed", "places", "known"), kind, buckets)
+    anchors = stored(_shared_anchors(_anchors(named, kind, buckets), buckets, HOT_ANCHOR), "anchors")
+    hot = _hot_filter(anchors)
+    places = _by_document(anchors.filter("doc_id IS NOT NULL"))
+    open_docs = packed(named, kind).join(places, keys).join(known, keys, "left")
+    segments = _segments(open_docs.select(*keys, "packed", "places", "known"), kind, buckets, hot)
     found = stored(_repeated_spans(segments, kind, buckets, compare), "found")
     return known.join(found, keys, "full")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -180,10 +181,11 @@ def mixed_rows(seed):
     return rows + [(300, "ab" * 400), (301, "ab" * 300), (302, "é" * 90), (303, "é" * 70)]
 
 
-@pytest.fixture
-def small_slices(monkeypatch):
-    """Several slices and buckets even for small tables; set where the tasks are made."""
+@pytest.fixture(params=[1 << 14, 2])
+def small_slices(monkeypatch, request):
+    """Several buckets even for small tables, with no hot anchor and with many; set where the tasks are made."""
     monkeypatch.setattr(repeats, "BUCKET_BYTES", 4096)
+    monkeypatch.setattr(repeats, "HOT_ANCHOR", request.param)
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -205,6 +207,35 @@ def test_passages(documents, small_slices, seed):
         assert found[doc_id] == (len(items), sum(gone), hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("kind", [suffixes.byte_kind(), phrases.word_kind()])
+def test_hot_anchors_are_spread(spark, documents, monkeypatch, kind):
+    """Documents that share a short phrase between different text: no group of segments grows with them."""
+    rng = random.Random(3)
+    phrase = "the terms of this site apply to all of its pages here" if kind.words else "~~ terms of this site apply here ~~"
+    monkeypatch.setattr(repeats, "HOT_ANCHOR", 200)
+
+    def largest(n, spread=True):
+        rows = [(i, f"{prose(rng, 30, 10**6)} {phrase} {prose(rng, 30, 10**6)}") for i in range(n)]
+        named = repeats.identified(documents(*rows).repartition(4)).cache()
+        found = repeats._shared_anchors(repeats._anchors(named, kind, 4), 4, repeats.HOT_ANCHOR)
+        hot = repeats._hot_filter(found)
+        assert len(hot)
+        hot = hot if spread else hot[:0]
+        places = repeats._by_document(found.filter("doc_id IS NOT NULL"))
+        rows = repeats.packed(named, kind).join(places, ["doc_id", "version"])
+        dealt = repeats._segments(rows.selectExpr("*", "CAST(NULL AS array<struct<first:long,last:long>>) AS known"), kind, 4, hot)
+        sizes = Counter()
+        for row in dealt.filter("hashes IS NOT NULL").collect():
+            for key, size in zip(np.frombuffer(row.hashes, "<u8").tolist(), np.frombuffer(row.sizes, "<u4").tolist()):
+                sizes[key] += size
+        return max(sizes.values())
+
+    # What is not hot has at most so many segments, give or take the rounding of counts.
+    bound = 1.5 * 200 * (kind.runs + kind.width - 1) * (9 if kind.words else 1)
+    assert largest(1500) < bound and largest(4500) < bound
+    assert largest(4500, spread=False) > 2 * bound
+
+
 def test_repeats_of_odd_rows(odd, odd_rows):
     expected = sorted(
         (str(i), len(items), sum(gone)) for i, items, gone in repeats_brute(odd_rows, lambda t: (t or "").encode(), 50)
