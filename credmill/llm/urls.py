@@ -7,6 +7,10 @@ list by its canonical form.  The list is first condensed to a Bloom filter of
 64-bit words.  URLs whose bits are all set go on to a hash join with the list itself,
 which removes the false positives; all others are decided without a shuffle.
 
+Few rules are expressions on each row.  More of them are a table: the label suffixes of
+each distinct host meet the hosts of rules, which tell how long their paths are, and the
+beginnings of the page's path of these lengths meet the rules themselves.
+
 The filter (see ``bloom``) has never more than a fixed number of blocks, about 12 MB, so it may be broadcast whatever the length of the list; on a longer list more
 URLs take the exact join.  Everything runs in the JVM.
 
@@ -29,7 +33,8 @@ from pyspark.sql import functions as F
 
 from credmill.llm import bloom
 
-MAX_RULES = 200
+# Rules that are written as expressions; more are joined.
+INLINE_RULES = 200
 # From the first :// on: host up to a slash, question mark or hash sign; then the path.
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)\??([^#]*)"
 # Parameters that say where a visitor came from.
@@ -79,12 +84,10 @@ def longest_rule(rules: tuple[Rule, ...]) -> tuple[Column, Column]:
     """Text and verdict of the longest rule that fits; NULL if none does.
 
     Of rules of equal length the one with the longer host decides, then the first in
-    alphabetical order.
+    alphabetical order; of a rule with both verdicts, block.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules; put single URLs on the list")
     text = verdict = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: (len(r.text), len(r.host), [-ord(c) for c in r.text])):
+    for rule in sorted(rules, key=lambda r: (len(r.text), len(r.host), [-ord(c) for c in r.text], r.verdict)):
         in_host = (F.col("host") == rule.host) | F.col("host").endswith("." + rule.host)
         fits = in_host & F.col("path").startswith(rule.path)
         text = F.when(fits, rule.text).otherwise(text)
@@ -92,12 +95,43 @@ def longest_rule(rules: tuple[Rule, ...]) -> tuple[Column, Column]:
     return text, verdict
 
 
-def judge(pages: DataFrame, listed: DataFrame, *, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Verdict on each row of ``pages``; ``listed`` has a column ``canonical``."""
+def with_joined_rules(parts: DataFrame, rules: DataFrame) -> DataFrame:
+    """Text and verdict of the longest rule that fits each row, as ``longest_rule`` does it."""
+    rules = rules.select("verdict", F.col("host").alias("rule_host"), F.col("path").alias("rule_path")).dropna()
+    lengths = rules.groupBy("rule_host").agg(F.collect_set(F.length("rule_path")).alias("lengths"))
+    labels = F.split("host", r"\.")
+    suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = parts.select("host").distinct().withColumn("rule_host", F.explode(suffix)).join(lengths, "rule_host")
+    urls = parts.select("host", "path").distinct()
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    asked = urls.join(hosts, "host").select("host", "path", "rule_host", F.explode(fitting).alias("n"))
+    asked = asked.withColumn("rule_path", F.col("path").substr(F.lit(1), F.col("n")))
+    text = F.concat("rule_host", "rule_path")
+    # The least is the longest rule, then that of the longer host, the first one, and block.
+    order = F.struct(
+        (-F.length(text)).alias("size"), (-F.length("rule_host")).alias("host_size"), text.alias("rule"),
+        (F.col("verdict") != "block").alias("allows"), "verdict",
+    )
+    best = asked.join(rules, ["rule_host", "rule_path"]).groupBy("host", "path").agg(F.min(order).alias("best"))
+    return parts.join(best, ["host", "path"], "left").select(parts.columns + ["best.rule", "best.verdict"])
+
+
+def judge(pages: DataFrame, listed: DataFrame, *, rules: tuple[Rule, ...] | DataFrame = RULES) -> DataFrame:
+    """Verdict on each row of ``pages``; ``listed`` has a column ``canonical``.
+
+    ``rules`` are given one by one, or as a table with verdict, host and path.
+    """
     listed = listed.select("canonical").filter("canonical IS NOT NULL").distinct()
     blocks = bloom.blocks_for(listed.count())
-    rule, verdict = longest_rule(rules)
-    ruled = with_parts(pages).select("*", rule.alias("rule"), verdict.alias("verdict"))
+    parts = with_parts(pages)
+    if isinstance(rules, tuple) and len(rules) > INLINE_RULES:
+        rows = [(rule.verdict, rule.host, rule.path) for rule in rules]
+        rules = pages.sparkSession.createDataFrame(rows, "verdict string, host string, path string")
+    if isinstance(rules, tuple):
+        rule, verdict = longest_rule(rules)
+        ruled = parts.select("*", rule.alias("rule"), verdict.alias("verdict"))
+    else:
+        ruled = with_joined_rules(parts, rules)
     asked = ruled.withColumn("block", F.when(F.col("rule").isNull(), bloom.block_of("canonical", blocks)))
     found = asked.join(F.broadcast(bloom.condensed(listed, "canonical", blocks)), "block", "left")
     found = found.withColumn("possible", bloom.all_set("canonical"))
