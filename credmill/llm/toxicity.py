@@ -355,7 +355,10 @@ def _feature_rows(part: pa.RecordBatch, memo: _Memo) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Lexicon from parts 0 and 1 of the training rows, weights from part 3."""
+    """Lexicon from parts 0 and 1 of the training rows, weights from part 3.
+
+    Without toxic or without other rows in part 3 there are no weights, and all scores are 0.
+    """
     ship(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
@@ -380,13 +383,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             found = _feature_rows(batch, memo)
             yield pa.record_batch([batch.column("toxic"), pa.array(list(found), schema[1].type)], schema=schema)
 
-    for parts in ((3,), (0, 1, 3)):
-        share = min(1.0, FIT_ROWS / max(1, known.filter(part.isin(*parts)).count()))
-        gathered = labelled(*parts, share=share).mapInArrow(rows, "toxic int, row array<double>").collect()
-        targets = np.array([row.toxic for row in gathered], float)
-        if len(set(targets.tolist())) == 2:
-            return Model(lexicon, fit_logistic(np.array([row.row for row in gathered]), targets))
-    return Model(lexicon, None)
+    share = min(1.0, FIT_ROWS / max(1, known.filter(part == 3).count()))
+    gathered = labelled(3, share=share).mapInArrow(rows, "toxic int, row array<double>").collect()
+    targets = np.array([row.toxic for row in gathered], float)
+    if len(set(targets.tolist())) < 2:
+        return Model(lexicon, None)
+    return Model(lexicon, fit_logistic(np.array([row.row for row in gathered]), targets))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
