@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from credmill.llm.arrow import slices
 from credmill.llm.shipping import ship
 from credmill.llm.tokens import END_ID, encoder
+from credmill.sources.scratch import shared_dir
 
 SEQUENCE_IDS = 1024
 GROUP_PIECES = 65_536
@@ -103,12 +104,19 @@ def pack(
     group_pieces: int = GROUP_PIECES,
     with_ids: bool = False,
 ) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``.  With ``with_ids`` their ids come too."""
+    """Pieces with ``sequence_id`` and ``offset``.  With ``with_ids`` their ids come too: they are
+    written once and joined to the places, so no task holds the ids of a group."""
     expected = docs.agg(
         F.ceil(F.count(F.lit(1)) + F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) / (2 * capacity))
     ).first()[0]
     groups = max(1, -(-expected // group_pieces))
     cut_up = pieces(docs, tokenizer=tokenizer, capacity=capacity, with_ids=with_ids)
+    if with_ids:
+        folder = shared_dir(docs.sparkSession, "pieces")
+        # A number of its own tells repeated rows apart.
+        cut_up.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+        stored = docs.sparkSession.read.parquet(folder)
+        cut_up = stored.drop("ids")
     order = ["length", "doc_id", "piece", "ids_crc32"]
 
     def one_group(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -117,8 +125,12 @@ def pack(
         return frame.drop(columns="part").assign(sequence_id=sequence * groups + key[0], offset=offset)
 
     part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
-    kinds = PIECES + (", ids array<int>" if with_ids else "") + ", sequence_id long, offset long"
-    return cut_up.withColumn("part", part).groupBy("part").applyInPandas(one_group, kinds)
+    kinds = PIECES + (", row long" if with_ids else "") + ", sequence_id long, offset long"
+    placed = cut_up.withColumn("part", part).groupBy("part").applyInPandas(one_group, kinds)
+    if not with_ids:
+        return placed
+    # Places are few bytes a piece, but as many as pieces: never broadcast.
+    return stored.join(placed.select("row", "sequence_id", "offset").hint("merge"), "row").drop("row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from texts import prose
 
 import corpus_pipeline
@@ -226,9 +227,47 @@ def test_bloom_filter_lets_all_listed_pass_and_the_join_removes_the_rest(spark,
     assert urls.judge(pages.filter("false"), listed).count() == 0
 
 
-def test_rules_of_equal_length_and_too_many():
-    with pytest.raises(ValueError, match="rules"):
-        urls.longest_rule(tuple(urls.Rule("block", f"h{i}", "/") for i in range(201)))
+def plain_rule(host, path, rules):
+    """The rule that decides, and its verdict."""
+    fits = [
+        r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    if not fits:
+        return None, None
+    best = min(fits, key=lambda r: (-len(r.text), -len(r.host), r.text, r.verdict != "block"))
+    return best.text, best.verdict
+
+
+def test_any_number_of_rules(spark, monkeypatch):
+    rng = random.Random(2)
+    hosts = ["net", "a.net", "b.a.net", "org", "x.org", "com", "h.com", "", "..net", "xnet"]
+    rules = {
+        urls.Rule(rng.choice(["block", "allow"]), rng.choice(hosts[:8]), "/" + "".join(rng.choices("ab/", k=rng.randint(0, 4))))
+        for _ in range(150)
+    } | {urls.Rule("allow", "org", ""), urls.Rule("block", "org", ""), urls.Rule("allow", "h.com", "/a")}
+    rules = tuple(sorted(rules, key=lambda r: rng.random()))
+    pages = [(i, f"http://{rng.choice(hosts)}/{''.join(rng.choices('ab/', k=rng.randint(0, 5)))}") for i in range(400)]
+    pages += [(None, None), (1, "nothing"), (2, "http://org")]
+    frame = spark.createDataFrame(pages, "page_id long, url string").selectExpr("*", "'x' AS rule", "'x' AS n", "'x' AS best")
+    none = spark.createDataFrame([], "canonical string")
+    few = sorted(str(tuple(r)) for r in urls.judge(frame, none, rules=rules).collect())
+    monkeypatch.setattr(urls, "INLINE_RULES", 10)
+    many = urls.judge(frame, none, rules=rules).collect()
+    assert sorted(str(tuple(r)) for r in many) == few and len(few) == len(pages)
+    for row in many:
+        rule, verdict = plain_rule(row.host, row.path, rules)
+        assert (row.rule, row.verdict) == (rule, verdict or "allow")
+    table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    assert sorted(str(tuple(r)) for r in urls.judge(frame, none, rules=table).collect()) == few
+    assert urls.judge(frame.filter("false"), none, rules=table).count() == 0
+    assert {r.rule for r in urls.judge(frame, none, rules=table.filter("false")).collect()} == {None}
+
+
+def test_weights_come_from_one_part_only(spark):
+    docs, labels = toxic_tables(spark, 200)
+    part = toxicity.train_part(F.col("doc_id"))
+    assert toxicity.train(docs, labels).weights is not None
+    assert toxicity.train(docs, labels.filter(part != 3)).weights is None
 
 
 def test_pipeline_against_its_stages_one_by_one(spark, sf_dir):
@@ -248,6 +287,13 @@ def test_pipeline_against_its_stages_one_by_one(spark, sf_dir):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = corpus_pipeline.run(spark, sf_dir)
     assert sorted(map(tuple, rows.select(columns).collect())) == sorted(map(tuple, expected.select(columns).collect()))
+    ends = {}
+    for row in sorted(rows.collect(), key=lambda r: (r.sequence_id, r.offset)):
+        assert row.offset == ends.get(row.sequence_id, 0)
+        assert row.length == len(row.ids)
+        assert row.ids_crc32 == zlib.crc32(np.array(row.ids, "<u4").tobytes())
+        ends[row.sequence_id] = row.offset + row.length
+    assert max(ends.values()) <= 1024
 
 
 def test_stages_take_odd_rows(spark, odd, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -117,6 +118,46 @@ def test_packing_of_nothing(documents):
     assert packing.pack(documents((1, "a")).filter("false"), tokenizer=JSON).count() == 0
 
 
+def plain_place(lengths, capacity):
+    """Gaps of the sequences after each piece, every open sequence tried."""
+    gaps, chosen = [], []
+    for length in lengths:
+        best = None
+        for gap in sorted({g for g in gaps if g >= length}):
+            after = list(gaps)
+            after[after.index(gap)] = gap - length
+            counts = Counter(g for g in after if g)
+            rating = (sum(n * n for n in counts.values()), gap)
+            best = min(best or rating, rating)
+        if best is None:
+            gap = capacity
+        else:
+            gap = best[1]
+            gaps.remove(gap)
+        gaps.append(gap - length)
+        chosen.append(capacity - gap)
+    return chosen
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_places_have_the_smallest_sum_of_squares(seed):
+    rng = np.random.default_rng(seed)
+    capacity = int(rng.choice([8, 13, 40]))
+    lengths = np.sort(rng.integers(1, capacity + 1, 150))[::-1]
+    _, offset = packing.place(lengths, capacity)
+    assert offset.tolist() == plain_place(lengths.tolist(), capacity)
+
+
+def test_packed_ids(odd, odd_rows, library):
+    rows = packing.pack(odd, tokenizer=JSON, capacity=128, with_ids=True).collect()
+    plain = packing.pack(odd, tokenizer=JSON, capacity=128).collect()
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
+    key = lambda r: str([r[c] for c in columns])
+    assert sorted(map(key, rows)) == sorted(map(key, plain))
+    assert all(crc(row.ids) == row.ids_crc32 and len(row.ids) == row.length for row in rows)
+    assert sum(row.length for row in rows) == sum(len(library(t)) + 1 for _, t in odd_rows)
+
+
 def test_sums_of_squares_packs_as_well_as_best_fit():
     rng = np.random.default_rng(4)
     lengths = np.sort(rng.integers(1, 1024, 5000))[::-1]
