@@ -8,7 +8,8 @@ stage's input, so a lost executor repeats one stage at most.
 2. Toxicity drops documents that score at the threshold or above.
 3. Near duplicates: of each group the document with the smallest id stays.
 4. Substring removal cuts out byte strings that an earlier document has.
-5. Packing returns a row for each piece of a document, with its place in a sequence.
+5. Packing returns a row for each piece of a document, with its token ids and its place in a
+   sequence.
 
 All stages but the last return the columns of ``documents``.  Rows without a document
 id are judged like others; the near-duplicate stage keeps them.  SQL can express none of
@@ -45,7 +46,7 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES = [
