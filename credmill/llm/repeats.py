@@ -45,7 +45,7 @@ from credmill.llm.shipping import ship
 from credmill.sources.scratch import shared_dir
 
 # Text that one bucket stands for.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 # Items that are hashed at once.
 BLOCK_ITEMS = 1 << 17
 # Compressed text that is handled at once.
@@ -293,6 +293,32 @@ def _docs_of_rows(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(_of_rows(rows, "ids", "<i8"), counts), np.repeat(_of_rows(rows, "versions", "<u4").astype(np.int64), counts)
 
 
+def _numbered_docs(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and versions of the documents in the rows, and the number of each entry's document."""
+    counts = _of_rows(rows, "counts", "<u4")
+    doc = np.repeat(np.arange(len(counts), dtype=np.uint32), counts)
+    return _of_rows(rows, "ids", "<i8"), _of_rows(rows, "versions", "<u4").astype(np.int64), doc
+
+
+def _rows_of_docs(ids, versions, doc, places) -> Iterator[pa.RecordBatch]:
+    """A row for each document with its places, where documents are given by number."""
+    if not len(doc):
+        return
+    order = np.lexsort((versions, ids))
+    fresh = np.append(True, (np.diff(ids[order]) != 0) | (np.diff(versions[order]) != 0))
+    rank = np.empty(len(ids), np.uint32)
+    rank[order] = np.cumsum(fresh) - 1
+    own, named = rank[doc], order[fresh]
+    by_rank = np.argsort(own, kind="stable")
+    own, places = own[by_rank], np.ascontiguousarray(places[by_rank], "<u4")
+    by_rank = None
+    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+    ends = np.append(first[1:], len(own))
+    cut = [places[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist())]
+    at = named[own[first]]
+    yield pa.record_batch([pa.array(ids[at]), pa.array(versions[at]), pa.array(cut, pa.binary())], schema=_FOUND_SCHEMA)
+
+
 # --- anchors ------------------------------------------------------------------------------
 
 
@@ -359,28 +385,44 @@ def _shared_anchors(dealt: DataFrame, buckets: int, hot_from: int) -> DataFrame:
             done = [row for row in rows if row["hashes"] is None]
             number = rows[0]["bucket"]
             rows.clear()
-            out = []
             if asked:
-                keys = _of_rows(asked, "hashes", "<u4")
-                ids, versions = _docs_of_rows(asked)
-                places = _of_rows(asked, "places", "<u4")
-                order = np.argsort(keys, kind="stable")
-                first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
-                low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
-                shared = order[np.repeat(low < high, np.diff(np.append(first, len(keys))))]
-                out.append(_rows_by_doc(ids[shared], versions[shared], places[shared]))
-                times = np.add.reduceat(np.int64(1) << _of_rows(asked, "sizes", "u1")[order].astype(np.int64), first)
-                hot = keys[order[first]][(low < high) & (times >= hot_from)]
+                keys, places = _of_rows(asked, "hashes", "<u4"), _of_rows(asked, "places", "<u4")
+                stands_for = _of_rows(asked, "sizes", "u1")
+                ids, versions, doc = _numbered_docs(asked)
+                asked.clear()
+                shared, hot = _recurring(keys, ids, doc, stands_for, hot_from)
+                keys = stands_for = None
+                yield from _rows_of_docs(ids, versions, doc[shared], places[shared])
                 if len(hot):
                     row = [[None], [number], [hot.tobytes()]]
-                    out.append(pa.record_batch([pa.array(c, f.type) for c, f in zip(row, _FOUND_SCHEMA)], schema=_FOUND_SCHEMA))
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(row, _FOUND_SCHEMA)], schema=_FOUND_SCHEMA)
             if done:
-                out.append(_rows_by_doc(*_docs_of_rows(done), _of_rows(done, "places", "<u4")))
-            yield from (batch for batch in out if batch is not None)
+                ids, versions, doc = _numbered_docs(done)
+                yield from _rows_of_docs(ids, versions, doc, _of_rows(done, "places", "<u4"))
 
     return _in_buckets(dealt, buckets).mapInArrow(of, _FOUND)
 
 
+def _recurring(keys, ids, doc, stands_for, hot_from: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries have a key that several documents have, and the hot ones of these keys.
+
+    Keys are sorted part by part, since sorting takes many times their own memory.
+    """
+    shared, hot = np.zeros(len(keys), bool), []
+    for part in range(16):
+        some = np.flatnonzero(keys >> np.uint32(28) == part)
+        if not len(some):
+            continue
+        some = some[np.argsort(keys[some], kind="stable")]
+        first = np.flatnonzero(np.append(True, keys[some][1:] != keys[some][:-1]))
+        of = ids[doc[some]]
+        several = np.minimum.reduceat(of, first) < np.maximum.reduceat(of, first)
+        shared[some] = np.repeat(several, np.diff(np.append(first, len(some))))
+        times = np.add.reduceat(np.int64(1) << stands_for[some].astype(np.int64), first)
+        hot.append(keys[some[first]][several & (times >= hot_from)])
+    return shared, np.concatenate(hot)
+
+
 def _by_document(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "version").agg(F.collect_list("places").alias("places"))
 
