@@ -8,6 +8,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  makes pa.compute available
 
+from credmill.llm import words
+
 # Text that is turned into arrays at once, so little that they stay in the processor's
 # cache.  One text may be longer.
 SLICE_BYTES = 1 << 19
@@ -19,6 +21,7 @@ def give_back() -> None:
     Workers live on from stage to stage.  What one stage has freed would count beside what the
     next one takes.
     """
+    words.forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -44,6 +47,7 @@ def slices(
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+        batch = lengths = sizes = None  # before the next one is read
     give_back()
 
 

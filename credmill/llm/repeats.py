@@ -50,7 +50,8 @@ BUCKET_BYTES = 8 << 20
 BLOCK_ITEMS = 1 << 17
 # Compressed text that is handled at once.
 PACKED_SLICE = 1 << 19
-# Text that is handled at once: some twenty arrays of eight bytes for each byte of it.
+# Text that is handled at once.  Arrays of eight bytes for each byte of it are made for one block
+# after the other, and what a slice took is free before the next one comes.
 TEXT_SLICE = 1 << 20
 # Occurrences from which the windows of an anchor are dealt one by one.
 HOT_ANCHOR = 1 << 14
@@ -82,13 +83,16 @@ class Slice:
         if kind.words:
             of = words.split(texts)
             self.data, self.starts, self.ends = of.data, of.starts, of.ends
-            self.values, self.bounds = of.hashes(), of.doc_words
+            self.hashes, self.bounds = of.hashes(), of.doc_words
         else:
             self.data = np.frombuffer(b"".join(texts), np.uint8)
-            self.values = words.BYTE_VALUE[self.data]
             self.bounds = np.zeros(len(texts) + 1, np.int64)
             np.cumsum([len(text) for text in texts], out=self.bounds[1:])
-        self.doc_of = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
+        self.doc_of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(self.bounds))
+
+    def values(self, first: int, last: int) -> np.ndarray:
+        """A number for each item from ``first`` on, before ``last``."""
+        return self.hashes[first:last] if self.kind.words else words.BYTE_VALUE[self.data[first:last]]
 
     def raw(self, first: int, last: int) -> bytes:
         """The items from ``first`` on, before ``last``."""
@@ -108,7 +112,7 @@ class Slice:
 
     def run_hashes(self, width: int, first: int, last: int) -> np.ndarray:
         """Hash of each run of items of a block; 0 where none begins any more."""
-        values = self.values[first:last]
+        values = self.values(first, last)
         n = max(0, len(values) - width + 1)
         up, down = words.powers(len(values))
         sums = np.zeros(len(values) + 1, np.uint64)
@@ -126,23 +130,29 @@ class Slice:
         ]
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each item: the hash of the short run that begins there, the smallest one in
-        the window that begins there (0 if that does not lie in one document), and
-        whether the short run is the anchor of a window."""
-        kind, parts = self.kind, []
-        edge = np.zeros(kind.runs - 1, np.uint64)
+    def anchors(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of one block after the other its first item, and for each of its items: the hash of the short
+        run that begins there, the smallest one in the window that begins there (0 if that does not
+        lie in one document), and whether the short run is the anchor of a window."""
+        kind, edge = self.kind, np.zeros(self.kind.runs - 1, np.uint64)
         for a, b in self.blocks():
             hashes, least = self.run_hashes(kind.anchor, a, b), np.zeros(b - a, np.uint64)
             smallest = _slide(hashes, kind.runs, np.minimum)
             inside = self.bounds[self.doc_of[a:b] + 1] - np.arange(a, b) >= kind.width
             n = len(smallest)
             least[:n] = np.where(inside[:n], smallest, 0)
+            smallest = inside = None
             highest = _slide(np.concatenate([edge, least]), kind.runs, np.maximum)
-            parts.append((hashes, least, (highest == hashes) & (hashes != 0)))
-        if not parts:
-            return edge[:0], edge[:0], np.zeros(0, bool)
-        return tuple(np.concatenate(column) for column in zip(*parts))
+            yield a, hashes, least, (highest == hashes) & (hashes != 0)
+
+    def chosen(self) -> tuple[np.ndarray, np.ndarray]:
+        """Items where an anchor begins, and its hash."""
+        at, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for a, hashes, _, chosen in self.anchors():
+            found = np.flatnonzero(chosen)
+            at.append(found + a)
+            keys.append(hashes[found])
+        return np.concatenate(at), np.concatenate(keys)
 
 
 def _slide(values: np.ndarray, width: int, of: Callable) -> np.ndarray:
@@ -203,22 +213,25 @@ def _phrases(docs: DataFrame, kind: Kind) -> DataFrame:
     names = ("k1", "k2", "doc_id", "version", "first", "last")
     schema = pa.schema([(name, pa.int64()) for name in names])
 
+    def of_slice(part):
+        ids, versions, texts = _texts(kind, part)
+        own = Slice(kind, texts)
+        first = np.union1d(own.triggers(), own.bounds[:-1][np.diff(own.bounds) > 0])
+        doc = own.doc_of[first]
+        following = np.append(first[1:], own.bounds[-1])
+        last = np.minimum(following + kind.width - 1, own.bounds[doc + 1])
+        long = last - first >= kind.width
+        first, last, doc = first[long], last[long], doc[long]
+        spans = zip(first.tolist(), last.tolist())
+        raw = b"".join([xxhash.xxh3_128_digest(own.raw(a, b)) for a, b in spans])
+        keys = np.frombuffer(raw, np.int64).reshape(-1, 2)
+        start = own.bounds[doc]
+        columns = [keys[:, 0], keys[:, 1], ids[doc], versions[doc], first - start, last - start]
+        yield pa.record_batch([pa.array(c) for c in columns], schema=schema)
+
     def of(batches):
         for part in slices(batches, limit=TEXT_SLICE):
-            ids, versions, texts = _texts(kind, part)
-            own = Slice(kind, texts)
-            first = np.union1d(own.triggers(), own.bounds[:-1][np.diff(own.bounds) > 0])
-            doc = own.doc_of[first]
-            following = np.append(first[1:], own.bounds[-1])
-            last = np.minimum(following + kind.width - 1, own.bounds[doc + 1])
-            long = last - first >= kind.width
-            first, last, doc = first[long], last[long], doc[long]
-            spans = zip(first.tolist(), last.tolist())
-            raw = b"".join([xxhash.xxh3_128_digest(own.raw(a, b)) for a, b in spans])
-            keys = np.frombuffer(raw, np.int64).reshape(-1, 2)
-            start = own.bounds[doc]
-            columns = [keys[:, 0], keys[:, 1], ids[doc], versions[doc], first - start, last - start]
-            yield pa.record_batch([pa.array(c) for c in columns], schema=schema)
+            yield from of_slice(part)
 
     return docs.mapInArrow(of, ", ".join(f"{name} long" for name in names))
 
@@ -325,50 +338,52 @@ def _rows_of_docs(ids, versions, doc, places) -> Iterator[pa.RecordBatch]:
 def _anchors(docs: DataFrame, kind: Kind, buckets: int) -> DataFrame:
     """Anchors of all documents, dealt into buckets."""
 
+    def of_slice(part):
+        ids, versions, texts = _texts(kind, part)
+        own = Slice(kind, texts)
+        at, keys = own.chosen()
+        if not len(at):
+            return
+        doc = own.doc_of[at]
+        places = (at - own.bounds[doc]).astype("<u4")
+        order = np.lexsort((ids[doc], keys))
+        first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+        low = np.minimum.reduceat(ids[doc][order], first)
+        high = np.maximum.reduceat(ids[doc][order], first)
+        times = np.diff(np.append(first, len(at)))
+        shared = np.zeros(len(at), bool)
+        shared[order] = np.repeat(low < high, times)
+        # Of an anchor that several documents of the slice have, that of the smallest id goes on,
+        # with the power of two next to the number of its occurrences.
+        sent = ~shared
+        sent[order[first]] = True
+        stands_for = np.zeros(len(at), np.uint8)
+        stands_for[order[first]] = np.where(low < high, np.rint(np.log2(times)), 0)
+        bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        rows = []
+        for chosen, dealt in ((shared, None), (sent, keys)):
+            to = np.flatnonzero(chosen)
+            to = to[np.argsort(bucket[to], kind="stable")] if dealt is not None else to
+            cuts = np.searchsorted(bucket[to], np.arange(buckets + 1)) if dealt is not None else [0, len(to)]
+            for number, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if a < b:
+                    some = to[a:b]
+                    docs_in, counts = _by_doc(doc[some])
+                    rows.append(
+                        (
+                            number if dealt is not None else int(ids[docs_in[0]]) % buckets,
+                            ids[docs_in].tobytes(), versions[docs_in].astype("<u4").tobytes(),
+                            counts.astype("<u4").tobytes(),
+                            dealt[some].astype("<u4").tobytes() if dealt is not None else None,
+                            places[some].tobytes(),
+                            stands_for[some].tobytes() if dealt is not None else None, None,
+                        )
+                    )
+        yield _dealt(rows)
+
     def of(batches):
         for part in slices(batches, limit=TEXT_SLICE):
-            ids, versions, texts = _texts(kind, part)
-            own = Slice(kind, texts)
-            hashes, _, chosen = own.anchors()
-            at = np.flatnonzero(chosen)
-            if not len(at):
-                continue
-            keys, doc = hashes[at], own.doc_of[at]
-            places = (at - own.bounds[doc]).astype("<u4")
-            order = np.lexsort((ids[doc], keys))
-            first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
-            low = np.minimum.reduceat(ids[doc][order], first)
-            high = np.maximum.reduceat(ids[doc][order], first)
-            times = np.diff(np.append(first, len(at)))
-            shared = np.zeros(len(at), bool)
-            shared[order] = np.repeat(low < high, times)
-            # Of an anchor that several documents of the slice have, that of the smallest id goes on,
-            # with the power of two next to the number of its occurrences.
-            sent = ~shared
-            sent[order[first]] = True
-            stands_for = np.zeros(len(at), np.uint8)
-            stands_for[order[first]] = np.where(low < high, np.rint(np.log2(times)), 0)
-            bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            rows = []
-            for chosen, dealt in ((shared, None), (sent, keys)):
-                to = np.flatnonzero(chosen)
-                to = to[np.argsort(bucket[to], kind="stable")] if dealt is not None else to
-                cuts = np.searchsorted(bucket[to], np.arange(buckets + 1)) if dealt is not None else [0, len(to)]
-                for number, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                    if a < b:
-                        some = to[a:b]
-                        docs_in, counts = _by_doc(doc[some])
-                        rows.append(
-                            (
-                                number if dealt is not None else int(ids[docs_in[0]]) % buckets,
-                                ids[docs_in].tobytes(), versions[docs_in].astype("<u4").tobytes(),
-                                counts.astype("<u4").tobytes(),
-                                dealt[some].astype("<u4").tobytes() if dealt is not None else None,
-                                places[some].tobytes(),
-                                stands_for[some].tobytes() if dealt is not None else None, None,
-                            )
-                        )
-            yield _dealt(rows)
+            yield from of_slice(part)
 
     return docs.mapInArrow(of, _BUCKET)
 
@@ -478,34 +493,56 @@ def _hot(keys: np.ndarray, buckets: int, hot: np.ndarray) -> np.ndarray:
 def _segments(rows: DataFrame, kind: Kind, buckets: int, hot: np.ndarray) -> DataFrame:
     """Runs of windows that may be repeats, dealt by their anchor, or by window if that is hot."""
 
+    def of_slice(part):
+        own = Slice(kind, unpack(part.column("packed")))
+        ids, versions = _longs(part, "doc_id"), _longs(part, "version")
+        first, last, least = _open_segments(
+            own, _places(own, part.column("places").to_pylist()), _known_windows(own, part)
+        )
+        if not len(first):
+            return
+        yield _deal_segments(own, ids, versions, first, last, least, buckets, hot)
+
     def of(batches):
         for part in slices(batches, "packed", PACKED_SLICE):
-            own = Slice(kind, unpack(part.column("packed")))
-            ids, versions = _longs(part, "doc_id"), _longs(part, "version")
-            hashes, least, _ = own.anchors()
-            if not len(least):
-                continue
-            keys = np.unique(hashes[_places(own, part.column("places").to_pylist())])
-            open_window = (least != 0) & _members(least, keys)
-            for doc, spans in enumerate(part.column("known").to_pylist()):
-                for span in spans or ():
-                    start = own.bounds[doc]
-                    open_window[start + span["first"] : start + span["last"] - kind.width + 1] = False
-            starts = np.flatnonzero(open_window)
-            if not len(starts):
-                continue
-            cut = np.append(
-                True,
-                (starts[1:] != starts[:-1] + 1) | (least[starts[1:]] != least[starts[:-1]])
-                | (own.doc_of[starts[1:]] != own.doc_of[starts[:-1]]),
-            )
-            first = starts[cut]
-            last = np.append(starts[np.flatnonzero(cut)[1:] - 1], starts[-1]) + kind.width
-            yield _deal_segments(own, ids, versions, first, last, least[first], buckets, hot)
+            yield from of_slice(part)
 
     return rows.mapInArrow(of, _BUCKET)
 
 
+def _known_windows(own: Slice, part: pa.RecordBatch) -> np.ndarray:
+    """First window and window after the last of each phrase that is known to be a repeat, by first window."""
+    found = [
+        (own.bounds[doc] + span["first"], own.bounds[doc] + span["last"] - own.kind.width + 1)
+        for doc, spans in enumerate(part.column("known").to_pylist())
+        for span in spans or ()
+    ]
+    return np.array(sorted(found), np.int64).reshape(-1, 2)
+
+
+def _open_segments(own: Slice, places: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one shared anchor that are not known to be repeats: first item, item
+    after the last, anchor.  A document's own places name all of its shared anchors, so a block of whole
+    documents needs those in it only.
+    """
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    places = np.sort(places)
+    for a, hashes, least, _ in own.anchors():
+        b = a + len(hashes)
+        keys = np.unique(hashes[places[slice(*np.searchsorted(places, (a, b)))] - a])
+        open_window = (least != 0) & _members(least, keys)
+        for first, last in known[slice(*np.searchsorted(known[:, 0], (a, b)))].tolist():
+            open_window[first - a : last - a] = False
+        starts = np.flatnonzero(open_window)
+        if not len(starts):
+            continue
+        of, doc = least[starts], own.doc_of[starts + a]
+        cut = np.append(True, (starts[1:] != starts[:-1] + 1) | (of[1:] != of[:-1]) | (doc[1:] != doc[:-1]))
+        last = np.append(starts[np.flatnonzero(cut)[1:] - 1], starts[-1]) + own.kind.width
+        found.append((starts[cut] + a, last + a, of[cut]))
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
 def _places(own: Slice, places: list) -> np.ndarray:
     """Items of the slice where shared anchors begin."""
     found = [

@@ -50,6 +50,12 @@ def powers(items: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_largest[0])
 
 
+def forget() -> None:
+    """Give up the powers, which are as many as the longest text so far has items."""
+    _largest[0] = 1 << 10
+    _powers.cache_clear()
+
+
 @lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 

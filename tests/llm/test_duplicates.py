@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import re
 from collections import Counter
 
@@ -302,3 +303,20 @@ def test_embeddings(spark):
 
 def test_embeddings_of_nothing(spark):
     assert embeddings.near_duplicates(vectors(spark, [])).count() == 0
+
+
+def test_memory_for_anchors_stays_with_the_blocks():
+    """Arrays of eight bytes for each item are made for one block at a time, not for the whole slice."""
+    rng, kind = random.Random(5), suffixes.byte_kind()
+    texts = [prose(rng, 300, 10**6).encode() for _ in range(2000)]
+    repeats.Slice(kind, texts[:1]).chosen()
+    tracemalloc.start()
+    try:
+        own = repeats.Slice(kind, texts)
+        at, keys = own.chosen()
+        segments = repeats._open_segments(own, at, np.zeros((0, 2), np.int64))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(at) == len(keys) > 0 and len(segments[0]) > 0
+    assert peak < 20 * sum(map(len, texts))
