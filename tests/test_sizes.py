@@ -59,3 +59,18 @@ def test_wide_rows_are_computed_behind_the_exchange(spark, tables):
     assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
     spread = plan[plan.index(") Exchange\n") :]
     assert "hashpartitioning(o_orderkey" in spread and "c_mktsegment" in spread[: spread.index("Arguments")]
+
+
+def test_buckets_of_the_job_grow_with_the_orders(spark, tables, monkeypatch):
+    assert entry._job(spark, tables(BASE)).buckets == entry.BUCKETS
+    monkeypatch.setattr(entry, "ROW_BYTES", 64 << 20)  # four rows to a bucket
+    for orders in (BASE, 2 * BASE):
+        assert entry._job(spark, tables(orders + 4)).buckets == orders // 4 + 1
+
+
+def test_a_job_of_many_buckets_has_the_same_grades(spark, tables, monkeypatch):
+    folder = tables(2 * BASE)
+    few = sorted(map(tuple, entry._full_run(spark, folder).collect()))
+    monkeypatch.setattr(entry, "ROW_BYTES", 64 << 20)
+    monkeypatch.setattr(entry, "TASK_ROWS", 5)
+    assert sorted(map(tuple, entry._full_run(spark, folder).collect())) == few
