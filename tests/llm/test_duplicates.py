@@ -9,6 +9,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from texts import prose
 
@@ -305,6 +306,65 @@ def test_embeddings_of_nothing(spark):
     assert embeddings.near_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_memory_for_linked_vectors_stays_with_the_block():
+    """Vectors of pairs are gathered in small parts, even if all pairs have to be looked at to the end."""
+    rng = np.random.default_rng(3)
+    units = rng.normal(size=64) + rng.normal(size=(1024, 64)) * 0.01
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    turn = np.linalg.eigh(units.T @ units)[1][:, ::-1].copy()
+    one, other = (embeddings.Tile(np.arange(1024).tobytes(), units.tobytes(), turn) for _ in range(2))
+    tracemalloc.start()
+    try:
+        a, _ = embeddings.linked_pairs(one, other, 0.95)
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
+    assert len(a) == 1024**2
+
+
+def test_vectors_are_not_sent_to_more_pairs_in_a_larger_table(spark):
+    def sent(n):
+        placed = spark.range(n).selectExpr(
+            "64 AS length", "CAST(id % 3 AS int) AS cell", "id AS place", "id AS vec_id", "CAST('' AS binary) AS vector"
+        )
+        pairs = embeddings.dealt(placed, 16).groupBy("length", "one", "other").count().collect()
+        assert max(p["count"] for p in pairs) <= 4 * 16 * embeddings.TILE_GROWTH
+        return sum(p["count"] for p in pairs) / n
+
+    assert sent(800) < 1.5 * sent(200)
+
+
+@pytest.mark.parametrize("size", [7, 64])
+def test_links_of_pairs_that_come_in_pieces(monkeypatch, size):
+    """Tiles and pairs may begin and end anywhere in the batches; rows of one id have no links."""
+    monkeypatch.setattr(embeddings, "BLOCK_ROWS", 5)
+    rng = np.random.default_rng(9)
+    rows = (rng.normal(size=(4, 8))[np.arange(60) % 4] + rng.normal(size=(60, 8)) * 0.15).astype(np.float32)
+    ids = np.arange(60) // 2 * 2 + (np.arange(60) > 9) * (np.arange(60) % 2)  # five ids twice
+    tile = np.arange(60) // 20
+    pairs = [(i, j) for i in range(3) for j in range(i, 3)]
+    sent = [
+        (8, i, j, k, int(ids[r]), rows[r].tobytes())
+        for i, j in pairs for k, t in enumerate((i, j)[: 1 + (i != j)]) for r in np.flatnonzero(tile == t)
+    ]
+    names = ["length", "one", "other", "second", "vec_id", "vector"]
+    table = pa.table(dict(zip(names, map(list, zip(*sent)))))
+    turn = np.linalg.qr(rng.normal(size=(8, 8)))[0]
+    found = list(embeddings.links(table.to_batches(size), {8: turn}, 0.95, np.dtype("f4")))
+    counts, edges = {}, []
+    for kind, a, b in (row.values() for batch in found for row in batch.to_pylist()):
+        if kind == "count":
+            counts[a] = counts.get(a, 0) + b
+        else:
+            edges.append((a, b))
+    units = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1)[:, None]
+    linked = (units @ units.T >= 0.95) & (ids[:, None] != ids)
+    expected = {i: int(linked[ids == i].sum()) for i in set(ids.tolist())}
+    assert counts == {i: n for i, n in expected.items() if n}
+    nodes = set(ids.tolist())
+    assert grouped(edges, nodes) == grouped([(int(ids[x]), int(ids[y])) for x, y in np.argwhere(linked)], nodes)
+
+
 def test_memory_for_anchors_stays_with_the_blocks():
     """Arrays of eight bytes for each item are made for one block at a time, not for the whole slice."""
     rng, kind = random.Random(5), suffixes.byte_kind()
