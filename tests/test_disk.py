@@ -16,7 +16,7 @@ from credmill import schemas
 from credmill.operators import keys
 from credmill.plans.batch_job import DEDUPED_TABLE, DUPLICATES_TABLE, LAYERS, Job
 from credmill.schemas import KEY
-from credmill.session import FREED, shuffles_freed
+from credmill.session import FREED, WRITING, writing
 
 
 @pytest.fixture
@@ -154,15 +154,15 @@ def test_a_setting_outlives_threads_and_failures(spark):
     inside, leave = threading.Event(), threading.Event()
 
     def other():
-        with shuffles_freed(spark):
+        with writing(spark):
             inside.set()
             leave.wait(10)
 
-    before = spark.conf.get(FREED, None)
+    before = {name: spark.conf.get(name, None) for name in WRITING}
     spark.conf.set(FREED, "false")
     thread = threading.Thread(target=other)
     try:
-        with pytest.raises(RuntimeError), shuffles_freed(spark):
+        with pytest.raises(RuntimeError), writing(spark):
             thread.start()
             inside.wait(10)
             raise RuntimeError
@@ -170,6 +170,26 @@ def test_a_setting_outlives_threads_and_failures(spark):
         leave.set()
         thread.join()
         assert spark.conf.get(FREED) == "false"
+        assert all(spark.conf.get(name, None) == value for name, value in before.items() if name != FREED)
     finally:
         leave.set()
-        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+        spark.conf.unset(FREED) if before[FREED] is None else spark.conf.set(FREED, before[FREED])
+
+
+def test_a_bucket_is_a_task_of_each_write(spark, rows, tmp_path):
+    """However small its file is."""
+    job = Job(spark, str(tmp_path), 9, prefix="tasks_")
+    tracker, group = spark.sparkContext.statusTracker(), "tasks of a write"
+    job.stage(rows)
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        job._save(job.table("loan_details"), "landing", schemas.LOANS_TABLE, "parquet")
+        stages = [
+            tracker.getStageInfo(stage)
+            for number in tracker.getJobIdsForGroup(group)
+            for stage in tracker.getJobInfo(number).stageIds
+        ]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert [stage.numTasks for stage in stages if stage] == [9]
+    job.drop()
